@@ -18,11 +18,20 @@ def flatten_orders(payloads: DataFrame) -> DataFrame:
 
 
 def payload_metrics(payloads: DataFrame) -> DataFrame:
-    """Rows produced and orders seen against the number of orders the payloads declare."""
-    items = flatten_orders(payloads).agg(
-        F.count(F.lit(1)).alias("rows_written"),
-        F.count_distinct("order_id").alias("orders_with_products"),
+    """Rows produced and orders seen against the number of orders the payloads declare, in one pass.
+
+    Only order ids are exploded; products are counted in place. The outer variant keeps payloads without orders, and
+    a payload's declared count goes to its first order.
+    """
+    orders = payloads.select("total_orders", F.posexplode_outer("orders").alias("_at", "_order"))
+    products = F.coalesce(F.size("_order.products"), F.lit(0))
+    n_products = F.when(products > 0, products).otherwise(0)
+    return orders.select(
+        F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("total_orders")).alias("_declared"),
+        F.when(n_products > 0, F.col("_order.order_id")).alias("_order_id"),
+        n_products.alias("_products"),
+    ).agg(
+        F.coalesce(F.sum("_products"), F.lit(0)).alias("rows_written"),
+        F.count_distinct("_order_id").alias("orders_with_products"),
+        F.coalesce(F.sum("_declared"), F.lit(0)).alias("declared_orders"),
     )
-    declared = payloads.agg(F.coalesce(F.sum("total_orders"), F.lit(0)).alias("declared_orders"))
-    both = items.unionByName(declared, allowMissingColumns=True)
-    return both.agg(*[F.sum(c).cast("bigint").alias(c) for c in both.columns])

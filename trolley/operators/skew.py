@@ -1,6 +1,6 @@
 """Joins and ordered windows that stay balanced when one key holds a large share of the rows.
 
-Both operators split the input by the keys that have more than ``min_rows`` rows. There are at most
+The operators split their input by the keys that have more than ``min_rows`` rows. There are at most
 ``rows / min_rows`` such keys whatever the data looks like, which is what makes broadcasting them, or the dimension
 rows that belong to them, safe: at 10^12 rows and the default limit that is 10^6 short rows. Every other key has at
 most ``min_rows`` rows, so the ordinary shuffle plan is balanced for it. No row is dropped on either side.
@@ -21,8 +21,11 @@ HOT_KEY_ROWS = 1_000_000
 def find_hot_keys(df: DataFrame, key: str, ws: Workspace, min_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
     """Keys with more than ``min_rows`` rows, or None when there are none (the usual case).
 
-    Reads one column and counts with map-side combine, so a hot key costs the shuffle one row per task.
+    Reads one column and counts with map-side combine, so a hot key costs the shuffle one row per task. A table of
+    at most ``min_rows`` rows cannot hold one; its row count comes from file metadata.
     """
+    if df.count() <= min_rows:
+        return None
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = ws.materialise(counts.where(F.col(key).isNotNull() & (F.col("_n") > min_rows)).select(key), "hot-keys")
     return None if hot.isEmpty() else hot
@@ -34,6 +37,11 @@ def split_by_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, Da
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 
 
+def rows_of_hot_keys(dim: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The dimension rows hot keys need, for broadcast: as many as there are hot keys, since ``key`` is unique."""
+    return F.broadcast(split_by_hot(dim, key, hot)[1])
+
+
 def join_dimension(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Inner join to a dimension with at most one row per key.
 
@@ -43,77 +51,77 @@ def join_dimension(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame | No
     if hot is None:
         return big.join(dim, key)
     cold_rows, hot_rows = split_by_hot(big, key, hot)
-    _, hot_dim = split_by_hot(dim, key, hot)
-    return cold_rows.join(dim, key).unionByName(hot_rows.join(F.broadcast(hot_dim), key))
+    return cold_rows.join(dim, key).unionByName(hot_rows.join(rows_of_hot_keys(dim, key, hot), key))
 
 
-@dataclass
-class OrderedStats:
-    """Names of the columns ``number_within`` adds; a name left None is not computed."""
+@dataclass(frozen=True)
+class Numbering:
+    """What to add per row, within its key in the given order: its position and, where named, two more columns."""
 
-    row_number: str
+    key: str
+    order_by: list[str]
+    position: str
+    total: str | None = None
     previous: str | None = None
     previous_of: str | None = None
-    total: str | None = None
-
 
-def number_within(
-    df: DataFrame, key: str, order_by: list[str], stats: OrderedStats, hot: DataFrame | None, ws: Workspace
-) -> DataFrame:
-    """Position of each row within its key, and optionally the previous row's value and the key's row count.
 
-    Cold keys use plain windows. Rows of hot keys are range-partitioned on the ordering, so one key spreads over
-    many tasks; each task numbers its own slice, and the slices are shifted by the row counts of earlier slices,
-    which is one small row per (key, task).
-    """
+def number_rows(df: DataFrame, how: Numbering, hot: DataFrame | None, ws: Workspace) -> DataFrame:
+    """``number_cold`` for ordinary keys, ``number_hot`` for the others."""
     if hot is None:
-        return _number_plain(df, key, order_by, stats)
-    cold_rows, hot_rows = split_by_hot(df, key, hot)
-    numbered_hot = _number_sliced(hot_rows, key, order_by, stats, ws)
-    return _number_plain(cold_rows, key, order_by, stats).unionByName(numbered_hot)
-
-
-def _number_plain(df: DataFrame, key: str, order_by: list[str], stats: OrderedStats) -> DataFrame:
-    ordered = Window.partitionBy(key).orderBy(*order_by)
-    added: dict[str, Column] = {stats.row_number: F.row_number().over(ordered).cast("bigint")}
-    if stats.previous:
-        added[stats.previous] = F.lag(stats.previous_of).over(ordered)
-    if stats.total:
-        added[stats.total] = F.count(F.lit(1)).over(Window.partitionBy(key))
+        return number_cold(df, how)
+    cold_rows, hot_rows = split_by_hot(df, how.key, hot)
+    return number_cold(cold_rows, how).unionByName(number_hot(hot_rows, how, ws))
+
+
+def number_cold(df: DataFrame, how: Numbering) -> DataFrame:
+    """Plain windows: one shuffle by key, for keys that fit in a task."""
+    ordered = Window.partitionBy(how.key).orderBy(*how.order_by)
+    added: dict[str, Column] = {how.position: F.row_number().over(ordered).cast("bigint")}
+    if how.total:
+        added[how.total] = F.count(F.lit(1)).over(Window.partitionBy(how.key))
+    if how.previous:
+        added[how.previous] = F.lag(how.previous_of).over(ordered)
     return df.withColumns(added)
 
 
-def _number_sliced(df: DataFrame, key: str, order_by: list[str], stats: OrderedStats, ws: Workspace) -> DataFrame:
+def number_hot(df: DataFrame, how: Numbering, ws: Workspace) -> DataFrame:
+    """The same numbers for keys too large for one task.
+
+    Rows are range-partitioned on the ordering, so one key spreads over many tasks. Each task numbers its own slice,
+    and slices are shifted by the row counts of earlier slices: one small row per (key, task).
+
+    ``df`` should be a scan without shuffles: then a lost task that runs again assigns the same tie-breaking ids.
+    """
     # The last sort column separates rows that agree on the whole ordering, so copies of one row spread as well.
     sliced = (
         df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(key, *order_by, "_tie")
+        .repartitionByRange(how.key, *how.order_by, "_tie")
         .withColumn("_slice", F.spark_partition_id())
     )
     # Slice numbers must be the same for the counts and for the rows, so they are written once and read twice.
     sliced = ws.materialise(sliced, "slices")
 
-    last = F.max(stats.previous_of) if stats.previous else F.lit(None)
-    slices = sliced.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"), last.alias("_last"))
-    by_slice = Window.partitionBy(key).orderBy("_slice")
+    last = F.max(how.previous_of) if how.previous else F.lit(None)
+    slices = sliced.groupBy(how.key, "_slice").agg(F.count(F.lit(1)).alias("_n"), last.alias("_last"))
+    by_slice = Window.partitionBy(how.key).orderBy("_slice")
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     shifts = slices.select(
-        key,
+        how.key,
         "_slice",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.lag("_last").over(by_slice).alias("_carried"),
-        F.sum("_n").over(Window.partitionBy(key)).alias("_total"),
+        F.sum("_n").over(Window.partitionBy(how.key)).alias("_total"),
     )
 
-    within = Window.partitionBy(key, "_slice").orderBy(*order_by, "_tie")
-    numbered = sliced.withColumn("_pos", F.row_number().over(within))
-    if stats.previous:
-        numbered = numbered.withColumn("_local_previous", F.lag(stats.previous_of).over(within))
-    joined = numbered.join(shifts, [key, "_slice"])
-    added = {stats.row_number: F.col("_pos") + F.col("_before")}
-    if stats.previous:
-        added[stats.previous] = F.when(F.col("_pos") > 1, F.col("_local_previous")).otherwise(F.col("_carried"))
-    if stats.total:
-        added[stats.total] = F.col("_total")
-    out = joined.withColumns(added)
-    return out.select(*df.columns, *added)
+    within = Window.partitionBy(how.key, "_slice").orderBy(*how.order_by, "_tie")
+    numbered = sliced.withColumn("_position", F.row_number().over(within))
+    if how.previous:
+        numbered = numbered.withColumn("_previous", F.lag(how.previous_of).over(within))
+    shifted = numbered.join(shifts, [how.key, "_slice"])
+    added = {how.position: F.col("_position") + F.col("_before")}
+    if how.total:
+        added[how.total] = F.col("_total")
+    if how.previous:
+        added[how.previous] = F.when(F.col("_position") > 1, F.col("_previous")).otherwise(F.col("_carried"))
+    return shifted.withColumns(added).select(*df.columns, *added)

@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 
 from trolley.operators.skew import (
     HOT_KEY_ROWS,
-    OrderedStats,
+    Numbering,
     find_hot_keys,
     join_dimension,
-    number_within,
+    number_cold,
+    number_hot,
+    number_rows,
+    rows_of_hot_keys,
+    split_by_hot,
 )
 from trolley.schema import LANDED_TYPES, ORDER_COLUMNS, ORDER_FIELDS, PRODUCT_FIELDS
+from trolley.sizing import size_shuffles
 from trolley.workspace import Workspace, workspace
 
 # Department ids are 1-based positions in this list.
@@ -46,8 +51,15 @@ def _numbered_orders(orders: DataFrame, ws: Workspace, hot_rows: int) -> DataFra
     """Orders with their place in the user's history: number, days since the prior order, last or not."""
     history = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"))
     hot_users = find_hot_keys(history, "o_custkey", ws, hot_rows)
-    stats = OrderedStats("order_number", previous="_prior_date", previous_of="o_orderdate", total="_user_orders")
-    numbered = number_within(history, "o_custkey", ["o_orderdate", "o_orderkey"], stats, hot_users, ws)
+    place = Numbering(
+        "o_custkey",
+        ["o_orderdate", "o_orderkey"],
+        position="order_number",
+        total="_user_orders",
+        previous="_prior_date",
+        previous_of="o_orderdate",
+    )
+    numbered = number_rows(history, place, hot_users, ws)
     return numbered.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -109,10 +121,20 @@ def order_items(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_KEY_ROWS)
     first_aisles = _first_aisles(lines, orders, products, hot_orders, hot_parts)
     order_rows = _numbered_orders(orders, ws, hot_rows).join(first_aisles, "order_id", "left")
 
-    with_product = join_dimension(lines, products, "product_id", hot_parts)
-    stats = OrderedStats("add_to_cart_order")
-    positioned = number_within(with_product, "order_id", LINE_ORDER, stats, hot_orders, ws).drop(*LINE_ORDER)
-    items = join_dimension(positioned, order_rows, "order_id", hot_orders)
+    place = Numbering("order_id", LINE_ORDER, position="add_to_cart_order")
+
+    def ordinary(some_lines: DataFrame) -> DataFrame:
+        with_product = join_dimension(some_lines, products, "product_id", hot_parts)
+        return number_cold(with_product, place).join(order_rows, "order_id")
+
+    if hot_orders is None:
+        items = ordinary(lines)
+    else:
+        cold_lines, hot_lines = split_by_hot(lines, "order_id", hot_orders)
+        numbered = number_hot(hot_lines, place, ws)
+        with_product = join_dimension(numbered, products, "product_id", hot_parts)
+        large = with_product.join(rows_of_hot_keys(order_rows, "order_id", hot_orders), "order_id")
+        items = ordinary(cold_lines).unionByName(large)
 
     first_time = F.coalesce(F.array_contains("first_aisles", F.col("aisle")), F.lit(False))
     reordered = F.when(first_time, 0).otherwise(1).cast("tinyint").alias("reordered")
@@ -121,6 +143,7 @@ def order_items(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_KEY_ROWS)
 
 def fact_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
+        size_shuffles(spark, [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")])
         order_items(spark, sf_dir).sortWithinPartitions("order_id", "product_id").write.parquet(path)
 
     return workspace(spark).once("fact", sf_dir, write)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators.clean import clean_orders, type_columns
+from trolley.operators.clean import clean_orders, deduplicate, drop_null_keys, stamp, type_columns
 from trolley.schema import CLEAN_SCHEMA, DEDUP_KEYS, OUTPUT_COLUMNS
 from trolley.sinks.serving import clustered, new_rows
 
@@ -56,9 +56,12 @@ def dedup_stream(stream: DataFrame, out: str, ingested_at: Column | None = None)
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = clean_orders(batch, ingested_at)
-        if batch_id > 0:
-            low, high = type_columns(batch).agg(F.min("order_id"), F.max("order_id")).first()
+        typed = type_columns(batch)
+        rows = stamp(drop_null_keys(typed), ingested_at)
+        if batch_id == 0:
+            rows = deduplicate(rows, DEDUP_KEYS)
+        else:
+            low, high = typed.agg(F.min("order_id"), F.max("order_id")).first()
             earlier = F.col("batch_id") < batch_id
             nearby = F.col("order_id").between(low, high)
             rows = new_rows(rows, _written(batch.sparkSession, out).where(earlier & nearby))
