@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
 
 from trolley.operators.clean import clean_orders
 from trolley.operators.flatten import flatten_orders
-from trolley.sinks.files import land_batch, write_processed
+from trolley.sinks.files import land_batch, remove, write_processed
 from trolley.sinks.serving import TABLE, append, create_serving_objects
 from trolley.sources.payloads import read_payloads
 from trolley.sources.staged import read_staged_orders
 from trolley.sources.tables import read_processed
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Locations:
@@ -37,9 +40,18 @@ def ingest(
     return land_batch(flatten_orders(read_payloads(spark, at.payloads, multi_line)), at.raw, batch, fmt)
 
 
-def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None) -> int:
-    """Clean everything staged and overwrite the processed dataset; returns its row count."""
-    return write_processed(clean_orders(read_staged_orders(spark, at.raw), ingested_at), at.processed)
+@dataclass(frozen=True)
+class Staged:
+    """What a stage run cleaned: the rows it kept and exactly the files it read."""
+
+    rows: int
+    files: list[str]
+
+
+def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None) -> Staged:
+    """Clean everything staged and overwrite the processed dataset."""
+    staged = read_staged_orders(spark, at.raw)
+    return Staged(write_processed(clean_orders(staged, ingested_at), at.processed), staged.inputFiles())
 
 
 def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
@@ -49,8 +61,18 @@ def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
     return append(processed, at.table, idempotent)
 
 
-def run(
-    spark: SparkSession, at: Locations, ingested_at: Column | None = None, idempotent: bool = False
-) -> tuple[int, int]:
-    """Stage, then load."""
-    return stage(spark, at, ingested_at), load(spark, at, idempotent)
+def cleanup(spark: SparkSession, at: Locations, staged: Staged) -> list[str]:
+    """Delete the processed dataset and the files one stage run read; returns what could not be deleted.
+
+    A file that landed after that run was planned is not in its list and stays for the next one.
+    """
+    return remove(spark, [*staged.files, at.processed])
+
+
+def run(spark: SparkSession, at: Locations, ingested_at: Column | None = None, idempotent: bool = False) -> int:
+    """Stage, load, and only then clean up what was loaded; returns the rows added."""
+    staged = stage(spark, at, ingested_at)
+    added = load(spark, at, idempotent)
+    for path in cleanup(spark, at, staged):
+        log.warning("could not remove %s", path)
+    return added

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.schema import ORDER_COLUMNS
@@ -35,3 +36,19 @@ def write_processed(clean: DataFrame, path: str) -> int:
     seen = Observation()
     clean.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return seen.get["rows"]
+
+
+def remove(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Delete files or directories on whatever file system they live; returns the paths that could not be deleted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    failed = []
+    for path in paths:
+        try:
+            target = hadoop.Path(path)
+            gone = target.getFileSystem(conf).delete(target, True)
+        except Py4JJavaError:
+            gone = False
+        if not gone:
+            failed.append(path)
+    return failed

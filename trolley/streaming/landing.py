@@ -21,12 +21,19 @@ def read_landing_stream(
     path: str,
     schema: str,
     max_files: int | None = None,
+    max_bytes: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
-    """New Parquet files below ``path``; ``archive`` moves files there once they have been consumed."""
+    """New Parquet files below ``path``.
+
+    ``max_files`` or ``max_bytes`` bounds one micro-batch, so a large backlog is worked off in steps that each
+    commit. ``archive`` moves files there once they have been consumed.
+    """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(path)
