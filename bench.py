@@ -56,7 +56,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     setup = {
-        "fact": round(seconds(lambda: retail.fact_path(spark, SF_DIR)), 3),
+        "fact": round(seconds(lambda: retail.fact(spark, SF_DIR)), 3),
         "payloads": round(seconds(lambda: retail.payload_path(spark, SF_DIR)), 3),
         "mixed_landing": round(seconds(lambda: retail.mixed_landing_path(spark, SF_DIR)), 3),
     }

@@ -1,9 +1,10 @@
 """Physical plans: what must be there at scale, and what must not."""
 
 import pytest
+from conftest import rows
 
 from trolley.operators.filters import apply_filters, valid_orders
-from trolley.plans import dashboard
+from trolley.plans import dashboard, retail
 from trolley.plans.registry import QUERIES
 
 
@@ -49,3 +50,41 @@ def test_filters_reach_the_scan(fact):
         assert pushed in text
     text = plan(dashboard.q10_department_share(apply_filters(fact, departments=["LARGE"], reordered=1)))
     assert "EqualTo(reordered,1)" in text
+
+
+@pytest.mark.parametrize(
+    "name, shuffles",
+    [
+        ("q01_total_unique_orders", 1),
+        ("q05_avg_products_per_order", 1),
+        ("q11_orders_by_hour", 2),
+        ("q13_order_size_distribution", 2),
+        ("q17_orders_by_days_since_prior", 2),
+        ("q18_orders_and_cart_by_dow", 2),
+        ("q22_top_users", 1),
+        ("q23_cart_position_funnel", 2),
+        ("q27_new_vs_returning_by_dow", 2),
+        ("q30_reorder_by_hour", 2),
+    ],
+)
+def test_order_level_steps_use_the_buckets(fact, name, shuffles):
+    """Left are the exchange by the small group key and, where the result is sorted, the sort's."""
+    text = plan(dashboard.QUERIES[name](fact))
+    assert "Bucketed: true" in text
+    assert text.count("Exchange ") == shuffles
+
+
+def test_one_bucket_is_one_file(spark, sf_dir, tmp_path):
+    stored = retail.store_fact(spark, sf_dir, f"{tmp_path}/fact-onefile")
+    files = [f for f in spark.table(stored.ordinary).inputFiles()]
+    assert stored.large is None and len(files) == spark.sparkContext.defaultParallelism
+
+
+def test_large_orders_fall_back_to_shuffles(spark, sf_dir, tmp_path, fact):
+    stored = retail.store_fact(spark, sf_dir, f"{tmp_path}/fact-large", hot_rows=8)
+    assert stored.large is not None
+    split = retail.read_fact(spark, stored)
+    assert rows(split) == rows(fact)
+    sizes = dashboard.q13_order_size_distribution(split)
+    assert "hashpartitioning(order_id" in plan(sizes)
+    assert rows(sizes) == rows(dashboard.q13_order_size_distribution(fact))

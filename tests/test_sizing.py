@@ -31,16 +31,30 @@ def test_workspace_follows_the_session_setting(spark):
     assert workspace(spark) is workspace(spark)
 
 
-def test_derived_table_is_written_once_per_source():
-    ws, writes = Workspace("/shared"), []
-    first = ws.once("t", "a", writes.append)
-    assert ws.once("t", "a", writes.append) == first and writes == [first]
-    assert ws.once("t", "b", writes.append) != first
+def test_shuffle_partitions_are_restored(spark):
+    names = (sizing.SHUFFLE_PARTITIONS, sizing.INITIAL_PARTITIONS)
+    before = [spark.conf.get(n, None) for n in names]
+    with pytest.raises(KeyError), sizing.shuffle_partitions(spark, 3):
+        assert [spark.conf.get(n) for n in names] == ["3", "3"]
+        raise KeyError
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_derived_table_is_made_once_per_source():
+    ws, made = Workspace("/shared"), []
+
+    def make(path):
+        made.append(path)
+        return path
+
+    first = ws.once("t", "a", make)
+    assert ws.once("t", "a", make) == first and made == [first]
+    assert ws.once("t", "b", make) != first
     ws.forget("a")
-    assert ws.once("t", "a", writes.append) != first
+    assert ws.once("t", "a", make) != first
 
 
-def test_a_failed_write_is_not_remembered():
+def test_a_failure_is_not_remembered():
     ws = Workspace("/shared")
 
     def fail(path):
@@ -48,4 +62,4 @@ def test_a_failed_write_is_not_remembered():
 
     with pytest.raises(RuntimeError):
         ws.once("t", "a", fail)
-    assert ws.once("t", "a", lambda path: None)
+    assert ws.once("t", "a", lambda path: path)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 
 def _half_even_quotient(num: Column, den: Column) -> Column:
+    """``num / den`` to the nearest integer, ties to even; ``num`` must not be negative."""
     den = F.nullif(den.cast("bigint"), F.lit(0).cast("bigint"))
-    quotient = F.call_function("div", num, den)
-    twice_rest = (num % den) * 2
-    round_up = (twice_rest > den) | ((twice_rest == den) & (quotient % 2 == 1))
-    return quotient + F.when(round_up, 1).otherwise(0)
+    # Half-up is floor((2 num + den) / (2 den)); a zero rest there is a tie, and an odd result of a tie is one too many.
+    doubled, by = num * 2 + den, den * 2
+    half_up = F.call_function("div", doubled, by)
+    return half_up - F.when(doubled % by == 0, half_up % 2).otherwise(0)
 
 
 def hundredths(num: Column, den: Column, scale: int) -> Column:

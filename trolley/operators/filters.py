@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the validity rule of the serving view.
 VALID_ORDER = "order_id > 0 AND user_id > 0 AND product_id > 0 AND product_name <> ''"
 
 

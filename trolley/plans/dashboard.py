@@ -168,14 +168,16 @@ def q19_department_contribution(fact: DataFrame) -> DataFrame:
 
 
 def q20_reorder_by_department_dow(fact: DataFrame) -> DataFrame:
-    per_day = []
+    # Rows first shrink to one per (department, weekday); the pivot then works on a handful of rows.
+    cells = fact.groupBy("department", "order_dow").agg(_items(), _reorders())
+    pivoted = []
     for dow in range(len(DAY_NAMES)):
         on_day = F.col("order_dow") == dow
-        per_day += [
-            F.count_if(on_day).alias(f"_items_{dow}"),
-            F.sum(F.when(on_day, F.col("reordered")).otherwise(0)).alias(f"_reorders_{dow}"),
+        pivoted += [
+            F.sum(F.when(on_day, F.col("total_items_sold"))).alias(f"_items_{dow}"),
+            F.sum(F.when(on_day, F.col("_reorders"))).alias(f"_reorders_{dow}"),
         ]
-    departments = fact.groupBy("department").agg(*per_day, _items())
+    departments = cells.groupBy("department").agg(*pivoted, F.sum("total_items_sold").alias("total_items_sold"))
     rates = [
         pct2(F.col(f"_reorders_{dow}"), F.col(f"_items_{dow}")).alias(f"{name.lower()}_reorder_rate_pct")
         for dow, name in enumerate(DAY_NAMES)

@@ -130,18 +130,15 @@ def _loaded_table(spark: SparkSession, sf_dir: str) -> str:
     """Ingest, stage and load the payloads into a serving table of this session; returns its name."""
     ws = workspace(spark)
 
-    def write(root: str) -> None:
-        at = _locations(spark, sf_dir, root)
+    def make(root: str) -> str:
+        database = "trolley_" + root.rsplit("-", 1)[-1]
+        payloads = retail.payload_path(spark, sf_dir)
+        at = jobs.Locations(payloads, f"{root}/raw", f"{root}/processed", f"{root}/warehouse", database)
         jobs.ingest(spark, at, batch="0")
         jobs.run(spark, at, _load_time())
+        return at.table
 
-    return _locations(spark, sf_dir, ws.once("serving", sf_dir, write)).table
-
-
-def _locations(spark: SparkSession, sf_dir: str, root: str) -> jobs.Locations:
-    database = "trolley_" + root.rsplit("-", 1)[-1]
-    payloads = retail.payload_path(spark, sf_dir)
-    return jobs.Locations(payloads, f"{root}/raw", f"{root}/processed", f"{root}/warehouse", database)
+    return ws.once("serving", sf_dir, make)
 
 
 def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

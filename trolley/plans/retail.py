@@ -6,6 +6,8 @@ by every query: the same build-once, query-many split as the serving table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from trolley.operators.skew import (
     split_by_hot,
 )
 from trolley.schema import LANDED_TYPES, ORDER_COLUMNS, ORDER_FIELDS, PRODUCT_FIELDS
-from trolley.sizing import size_shuffles
+from trolley.sizing import input_bytes, partitions_for, shuffle_partitions, size_shuffles
 from trolley.workspace import Workspace, workspace
 
 # Department ids are 1-based positions in this list.
@@ -102,11 +104,16 @@ def _first_aisles(
     return by_order.agg(F.collect_set("aisle").alias("first_aisles"))
 
 
-def order_items(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def order_item_parts(
+    spark: SparkSession, sf_dir: str, hot_rows: int = HOT_KEY_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
     """The 15-column fact, one row per line: ``lineitem`` joined to its order and its part.
 
-    Two full-width shuffles of the lines: by part, then by order. The second serves the order join, the position
-    inside the cart, and the layout of the written table. A line is a reorder when its aisle is not among the aisles
+    The first part holds the ordinary orders, hash-partitioned by order; the second holds orders of more than
+    ``hot_rows`` lines, if there are any, spread without regard to the order.
+
+    Two full-width shuffles of the lines: by part, then by order. The second serves the position inside the cart,
+    the order join, and the buckets of the written table. A line is a reorder when its aisle is not among the aisles
     first bought in its order, which rides on the order row and so needs no join of its own.
     """
     ws = workspace(spark)
@@ -120,38 +127,74 @@ def order_items(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_KEY_ROWS)
 
     first_aisles = _first_aisles(lines, orders, products, hot_orders, hot_parts)
     order_rows = _numbered_orders(orders, ws, hot_rows).join(first_aisles, "order_id", "left")
-
     place = Numbering("order_id", LINE_ORDER, position="add_to_cart_order")
 
     def ordinary(some_lines: DataFrame) -> DataFrame:
         with_product = join_dimension(some_lines, products, "product_id", hot_parts)
-        return number_cold(with_product, place).join(order_rows, "order_id")
+        return _columns(number_cold(with_product, place).join(order_rows, "order_id"))
 
     if hot_orders is None:
-        items = ordinary(lines)
-    else:
-        cold_lines, hot_lines = split_by_hot(lines, "order_id", hot_orders)
-        numbered = number_hot(hot_lines, place, ws)
-        with_product = join_dimension(numbered, products, "product_id", hot_parts)
-        large = with_product.join(rows_of_hot_keys(order_rows, "order_id", hot_orders), "order_id")
-        items = ordinary(cold_lines).unionByName(large)
+        return ordinary(lines), None
+    cold_lines, hot_lines = split_by_hot(lines, "order_id", hot_orders)
+    numbered = number_hot(hot_lines, place, ws)
+    with_product = join_dimension(numbered, products, "product_id", hot_parts)
+    large = with_product.join(rows_of_hot_keys(order_rows, "order_id", hot_orders), "order_id")
+    return ordinary(cold_lines), _columns(large)
+
 
+def _columns(items: DataFrame) -> DataFrame:
     first_time = F.coalesce(F.array_contains("first_aisles", F.col("aisle")), F.lit(False))
     reordered = F.when(first_time, 0).otherwise(1).cast("tinyint").alias("reordered")
     return items.select(*[F.col(c) for c in ORDER_COLUMNS if c != "reordered"], reordered)
 
 
-def fact_path(spark: SparkSession, sf_dir: str) -> str:
-    def write(path: str) -> None:
-        size_shuffles(spark, [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")])
-        order_items(spark, sf_dir).sortWithinPartitions("order_id", "product_id").write.parquet(path)
+def order_items(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    ordinary, large = order_item_parts(spark, sf_dir, hot_rows)
+    return ordinary if large is None else ordinary.unionByName(large)
+
+
+@dataclass(frozen=True)
+class StoredFact:
+    """The written fact: a table bucketed by order, and a path with the orders too large for one bucket, if any."""
 
-    return workspace(spark).once("fact", sf_dir, write)
+    ordinary: str
+    large: str | None
+
+
+def store_fact(spark: SparkSession, sf_dir: str, path: str, hot_rows: int = HOT_KEY_ROWS) -> StoredFact:
+    """Write the fact below ``path``.
+
+    Bucketing by order makes every aggregate that groups by order, or counts distinct orders, free of its large
+    shuffle. Buckets and shuffle partitions are the same hash, so the build runs with as many partitions as there
+    are buckets and each bucket comes out of one task as one file.
+    """
+    sources = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")]
+    buckets = max(partitions_for(input_bytes(spark, sources)), spark.sparkContext.defaultParallelism)
+    stored = f"default.trolley_fact_{path.rsplit('-', 1)[-1]}"
+    with shuffle_partitions(spark, buckets):
+        ordinary, large = order_item_parts(spark, sf_dir, hot_rows)
+        writer = ordinary.write.bucketBy(buckets, "order_id").sortBy("order_id", "product_id")
+        writer.option("path", f"{path}/ordinary").format("parquet").saveAsTable(stored)
+        if large is not None:
+            large.write.parquet(f"{path}/large")
+    return StoredFact(stored, None if large is None else f"{path}/large")
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written fact table."""
-    return spark.read.parquet(fact_path(spark, sf_dir))
+    """The fact, written on first use. With large orders it is a union, which falls back to ordinary shuffles."""
+
+    def make(path: str) -> StoredFact:
+        size_shuffles(spark, [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")])
+        return store_fact(spark, sf_dir, path)
+
+    return read_fact(spark, workspace(spark).once("fact", sf_dir, make))
+
+
+def read_fact(spark: SparkSession, stored: StoredFact) -> DataFrame:
+    ordinary = spark.table(stored.ordinary)
+    if stored.large is None:
+        return ordinary
+    return ordinary.unionByName(spark.read.schema(ordinary.schema).parquet(stored.large))
 
 
 def with_load_time(items: DataFrame) -> DataFrame:
@@ -206,8 +249,9 @@ def order_payloads(items: DataFrame) -> DataFrame:
 def payload_path(spark: SparkSession, sf_dir: str) -> str:
     """The payloads as JSON, one per line, written once per session."""
 
-    def write(path: str) -> None:
+    def write(path: str) -> str:
         order_payloads(fact(spark, sf_dir)).write.json(path)
+        return path
 
     return workspace(spark).once("payloads", sf_dir, write)
 
@@ -215,7 +259,7 @@ def payload_path(spark: SparkSession, sf_dir: str) -> str:
 def mixed_landing_path(spark: SparkSession, sf_dir: str) -> str:
     """The fact landed in three ways: Parquet with integer days, Parquet with double days, CSV text."""
 
-    def write(path: str) -> None:
+    def write(path: str) -> str:
         items = fact(spark, sf_dir).select(*[F.col(c).cast(t) for c, t in LANDED_TYPES.items()])
         early = items.where("order_hour_of_day < 8")
         midday = items.where("order_hour_of_day >= 8 AND order_hour_of_day < 16")
@@ -224,6 +268,7 @@ def mixed_landing_path(spark: SparkSession, sf_dir: str) -> str:
         early.write.parquet(f"{path}/batch=integers")
         midday.withColumn(days, F.col(days).cast("double")).write.parquet(f"{path}/batch=doubles")
         late.withColumn(days, F.col(days).cast("double")).write.option("header", True).csv(f"{path}/batch=text")
+        return path
 
     return workspace(spark).once("mixed-landing", sf_dir, write)
 

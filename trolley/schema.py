@@ -10,6 +10,7 @@ Three stages share the same 15 column names and differ only in width:
 * ``NESTED`` - the order document as it arrives: orders, each holding its products.
 """
 
+# The column names below, their order and the key lists are fixed values of the data model.
 ORDER_FIELDS = [
     "order_id",
     "user_id",

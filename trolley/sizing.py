@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 PARTITION_BYTES = 256 * 1024 * 1024
 # Beyond this the bookkeeping of map tasks x partitions costs more than letting larger partitions spill.
@@ -31,8 +34,24 @@ def size_shuffles(spark: SparkSession, paths: list[str]) -> int:
     Only raises the number, never lowers what the session was configured with; adaptive execution merges what turns
     out small. At 100 TB of input the default of 200 would leave terabytes to a single task.
     """
-    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS))
     wanted = partitions_for(input_bytes(spark, paths))
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, wanted)
     return max(wanted, current)
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Run with exactly ``n`` partitions per shuffle, then restore the session's settings."""
+    before = {name: spark.conf.get(name, None) for name in (SHUFFLE_PARTITIONS, INITIAL_PARTITIONS)}
+    try:
+        for name in before:
+            spark.conf.set(name, n)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

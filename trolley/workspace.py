@@ -10,33 +10,35 @@ import tempfile
 import threading
 import uuid
 from collections.abc import Callable
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 class Workspace:
     def __init__(self, root: str):
         self.root = root
-        self._tables: dict[tuple[str, str], str] = {}
+        self._made: dict[tuple[str, str], Any] = {}
         self._lock = threading.RLock()
 
     def fresh(self, name: str) -> str:
         """A path nothing has written to yet."""
         return f"{self.root}/{name}-{uuid.uuid4().hex}"
 
-    def once(self, name: str, source: str, write: Callable[[str], None]) -> str:
-        """Path of a derived table, written on first use and reused for the rest of the session."""
+    def once(self, name: str, source: str, make: Callable[[str], T]) -> T:
+        """What ``make`` returned for one input folder: called on first use, with a path of its own to write to, and
+        remembered for the rest of the session."""
         with self._lock:
-            if (name, source) not in self._tables:
-                path = self.fresh(name)
-                write(path)
-                self._tables[(name, source)] = path
-            return self._tables[(name, source)]
+            if (name, source) not in self._made:
+                self._made[(name, source)] = make(self.fresh(name))
+            return self._made[(name, source)]
 
     def forget(self, source: str) -> None:
         """Drop what is remembered about one input folder, e.g. after its tables changed."""
         with self._lock:
-            self._tables = {k: v for k, v in self._tables.items() if k[1] != source}
+            self._made = {k: v for k, v in self._made.items() if k[1] != source}
 
     def materialise(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to the shared folder and read it back: lineage ends at files that outlive any executor."""
