@@ -75,10 +75,12 @@ def test_guards(spark, at):
         jobs.ingest(spark, at, "b1", "orc")
 
 
-def test_empty_batch_fails(spark, at, tmp_path):
+def test_empty_batch_fails(spark, at):
     empty = jobs.read_payloads(spark, at.payloads).where("total_orders < 0")
     with pytest.raises(EmptyBatch):
         land_batch(jobs.flatten_orders(empty), at.raw, "b1")
+    with pytest.raises(NoStagedFiles):
+        jobs.stage(spark, at)
 
 
 def test_empty_processed_set_loads_nothing(spark, at):
@@ -104,6 +106,12 @@ def test_mixed_landing(spark, tmp_path):
     assert {r.order_id: r[days] for r in staged.collect()} == {1: 7, 2: 8, 3: None, 4: 9, 5: None, 6: 7, 7: None}
 
 
+def test_text_parquet_keeps_its_numbers(spark, tmp_path):
+    raw = f"{tmp_path}/raw"
+    feed(spark, {"order_hour_of_day": "12.7"}).write.parquet(raw)
+    assert [(r.days_since_prior_order, r.order_hour_of_day) for r in read_staged_orders(spark, raw).collect()] == [(7, 12)]
+
+
 def test_serving_objects_are_created_once(spark, tmp_path):
     for _ in range(2):
         serving.create_serving_objects(spark, "made_twice", f"{tmp_path}/w")

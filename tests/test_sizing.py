@@ -13,15 +13,14 @@ def test_partitions_grow_with_input_and_stop():
     assert sizing.partitions_for(100 * 2**40) == sizing.MAX_PARTITIONS
 
 
-def test_sizing_only_raises(spark, sf_dir, monkeypatch):
-    path = [f"{sf_dir}/lineitem.parquet"]
-    assert sizing.input_bytes(spark, path) > 0
-    assert sizing.size_shuffles(spark, path) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_sizing_only_raises(spark, sf_dir):
+    size = sizing.input_bytes(spark, [f"{sf_dir}/lineitem.parquet", f"{sf_dir}/orders.parquet"])
+    assert size > 10_000
+    assert sizing.size_shuffles(spark, size) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert spark.conf.get(sizing.INITIAL_PARTITIONS, None) is None
-    monkeypatch.setattr(sizing, "PARTITION_BYTES", 1000)
     try:
-        wanted = sizing.size_shuffles(spark, path)
-        assert wanted > 100 and spark.conf.get(sizing.INITIAL_PARTITIONS) == str(wanted)
+        assert sizing.size_shuffles(spark, 10 * 2**30) == 160
+        assert sizing.size_shuffles(spark, size) == 160 and spark.conf.get(sizing.INITIAL_PARTITIONS) == "160"
     finally:
         spark.conf.unset(sizing.INITIAL_PARTITIONS)
 

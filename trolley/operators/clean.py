@@ -20,9 +20,9 @@ def _typed(df: DataFrame, name: str, to: str) -> Column:
     return through_double.alias(name)
 
 
-def type_columns(df: DataFrame) -> DataFrame:
+def type_columns(df: DataFrame, types: dict[str, str] = CLEAN_TYPES) -> DataFrame:
     """Project to the 15 typed columns; what does not fit its type becomes NULL."""
-    return df.select(*[_typed(df, name, to) for name, to in CLEAN_TYPES.items()])
+    return df.select(*[_typed(df, name, to) for name, to in types.items()])
 
 
 def drop_null_keys(df: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """The retail star schema (lineitem, orders, part) as order items, order documents and staged feeds.
 
-The fact is derived once per session and input folder, written to the shared workspace clustered by order, and read
+The fact is derived once per session and input folder, written to the shared workspace bucketed by order, and read
 by every query: the same build-once, query-many split as the serving table.
 """
 
@@ -79,7 +79,7 @@ def _products(part: DataFrame) -> DataFrame:
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         (position * 100 + F.substring("p_brand", 7, 10).cast("int")).alias("aisle_id"),
-        F.concat_ws(" ", "p_type", "p_brand").alias("aisle"),
+        F.concat("p_type", F.lit(" "), "p_brand").alias("aisle"),
         position.alias("department_id"),
         F.col("p_type").alias("department"),
     )
@@ -168,8 +168,9 @@ def store_fact(spark: SparkSession, sf_dir: str, path: str, hot_rows: int = HOT_
     shuffle. Buckets and shuffle partitions are the same hash, so the build runs with as many partitions as there
     are buckets and each bucket comes out of one task as one file.
     """
-    sources = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")]
-    buckets = max(partitions_for(input_bytes(spark, sources)), spark.sparkContext.defaultParallelism)
+    size = input_bytes(spark, [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")])
+    size_shuffles(spark, size)
+    buckets = max(partitions_for(size), spark.sparkContext.defaultParallelism)
     stored = f"default.trolley_fact_{path.rsplit('-', 1)[-1]}"
     with shuffle_partitions(spark, buckets):
         ordinary, large = order_item_parts(spark, sf_dir, hot_rows)
@@ -182,12 +183,8 @@ def store_fact(spark: SparkSession, sf_dir: str, path: str, hot_rows: int = HOT_
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact, written on first use. With large orders it is a union, which falls back to ordinary shuffles."""
-
-    def make(path: str) -> StoredFact:
-        size_shuffles(spark, [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "part")])
-        return store_fact(spark, sf_dir, path)
-
-    return read_fact(spark, workspace(spark).once("fact", sf_dir, make))
+    stored = workspace(spark).once("fact", sf_dir, lambda path: store_fact(spark, sf_dir, path))
+    return read_fact(spark, stored)
 
 
 def read_fact(spark: SparkSession, stored: StoredFact) -> DataFrame:

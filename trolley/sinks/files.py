@@ -19,14 +19,16 @@ def land_batch(items: DataFrame, raw_path: str, batch: str, fmt: str = "parquet"
     """Write one flattened batch to ``raw_path/batch=<batch>`` and return its row and order counts.
 
     The directory belongs to the batch, so running a batch again replaces it. Counts come from the write itself; the
-    plan runs once. A batch without rows leaves an empty directory behind and raises.
+    plan runs once. A batch without rows is an error and leaves nothing behind.
     """
     if fmt not in LANDING_FORMATS:
         raise ValueError(f"landing format must be one of {LANDING_FORMATS}, not {fmt!r}")
+    path = f"{raw_path}/batch={batch}"
     seen = Observation()
     written = items.select(*ORDER_COLUMNS).observe(seen, F.count(F.lit(1)).alias("rows_written"))
-    written.write.mode("overwrite").format(fmt).option("header", True).save(f"{raw_path}/batch={batch}")
+    written.write.mode("overwrite").format(fmt).option("header", True).save(path)
     if not seen.get["rows_written"]:
+        remove(items.sparkSession, [path])
         raise EmptyBatch("the payload holds no product rows")
     return dict(seen.get)
 

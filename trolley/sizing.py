@@ -28,14 +28,14 @@ def partitions_for(size: int) -> int:
     return min(max(1, ceil(size * EXPANSION / PARTITION_BYTES)), MAX_PARTITIONS)
 
 
-def size_shuffles(spark: SparkSession, paths: list[str]) -> int:
-    """Make sure this session's shuffles start with partitions that fit a task, and return their number.
+def size_shuffles(spark: SparkSession, size: int) -> int:
+    """Make sure this session's shuffles of ``size`` input bytes start with partitions that fit a task.
 
     Only raises the number, never lowers what the session was configured with; adaptive execution merges what turns
-    out small. At 100 TB of input the default of 200 would leave terabytes to a single task.
+    out small; returns the number in effect. At 100 TB of input the default of 200 would leave terabytes to a single task.
     """
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS))
-    wanted = partitions_for(input_bytes(spark, paths))
+    wanted = partitions_for(size)
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, wanted)
     return max(wanted, current)

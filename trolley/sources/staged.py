@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -14,6 +15,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trolley.operators.clean import type_columns
 from trolley.schema import LANDED_TYPES, ORDER_COLUMNS, TEXT_SCHEMA
 
 
@@ -50,7 +52,8 @@ def _files_by_types(spark: SparkSession, path: str) -> list[list[str]]:
             paths = batch.column("path").to_pylist()
             types = []
             for file in paths:
-                fs, inner = pafs.FileSystem.from_uri(file.replace("s3a://", "s3://", 1).replace("file:/", "file:///", 1))
+                uri = re.sub("^file:/+", "file:///", file).replace("s3a://", "s3://", 1)
+                fs, inner = pafs.FileSystem.from_uri(uri)
                 footer = pq.read_schema(inner, filesystem=fs)
                 types.append(";".join(sorted(f"{column.name}:{column.type}" for column in footer)))
             yield pa.RecordBatch.from_pydict({"path": paths, "types": types})
@@ -66,7 +69,8 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet batches whose footers need not agree.
 
     A writer that lets nulls turn integers into doubles leaves files no single scan can read. Spark first compares
-    all footers; only when they disagree do the files fall into groups, one scan each, cast to the landed types.
+    all footers; only when they disagree do the files fall into groups, one scan each, brought
+    to the landed types.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     try:
@@ -75,7 +79,7 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
         if "CANNOT_MERGE_SCHEMAS" not in str(e):
             raise
         scans = [spark.read.parquet(*files) for files in _files_by_types(spark, path)]
-    return reduce(DataFrame.unionByName, [_landed(scan) for scan in scans])
+    return reduce(DataFrame.unionByName, [type_columns(scan, LANDED_TYPES) for scan in scans])
 
 
 def read_staged_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +88,6 @@ def read_staged_csv(spark: SparkSession, path: str) -> DataFrame:
     return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
 
 
-def _landed(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).try_cast(LANDED_TYPES[c]).alias(c) for c in ORDER_COLUMNS])
-
-
 def read_staged_orders(spark: SparkSession, path: str) -> DataFrame:
     """All staged rows. No staged file is an error, not an empty result.
 
