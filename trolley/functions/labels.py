@@ -1,4 +1,4 @@
-"""Chart labels and bucket boundaries. The texts and edges below are fixed values of the dashboard."""
+"""Chart labels and bucket boundaries of a named column. Texts and edges are fixed values of the dashboard."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -7,27 +7,27 @@ DAY_NAMES = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 CART_BUCKET_WIDTH = 5
 
 
-def day_name(dow: Column) -> Column:
+def day_name(dow: str) -> Column:
     """Name of weekday 0..6; an out-of-range or missing weekday gives the empty string."""
-    names = F.array(*[F.lit(d) for d in DAY_NAMES])
-    in_range = dow.between(0, len(DAY_NAMES) - 1)
-    return F.when(in_range, F.try_element_at(names, dow.cast("int") + 1)).otherwise("")
+    names = ", ".join(f"'{name}'" for name in DAY_NAMES)
+    position = f"CAST({dow} AS INT) + 1"
+    return F.expr(f"IF({dow} BETWEEN 0 AND {len(DAY_NAMES) - 1}, element_at(array({names}), {position}), '')")
 
 
-def cart_bucket_start(n_items: Column) -> Column:
-    width = F.lit(CART_BUCKET_WIDTH).cast("bigint")
-    return F.call_function("div", n_items - 1, width) * width + 1
+def cart_bucket_start(n_items: str) -> Column:
+    return F.expr(f"({n_items} - 1) div {CART_BUCKET_WIDTH} * {CART_BUCKET_WIDTH} + 1")
 
 
-def cart_bucket_label(start: Column) -> Column:
-    return F.concat_ws("-", start.cast("string"), (start + CART_BUCKET_WIDTH - 1).cast("string"))
+def cart_bucket_label(start: str) -> Column:
+    return F.expr(f"concat({start}, '-', {start} + {CART_BUCKET_WIDTH - 1})")
 
 
-def cart_step(position: Column) -> Column:
-    return F.concat(F.lit("Item "), position.cast("string"))
+def cart_step(position: str) -> Column:
+    return F.expr(f"concat('Item ', {position})")
 
 
-def interval_segment(days: Column) -> Column:
+def interval_segment(days: str) -> Column:
+    days = F.col(days)
     return (
         F.when(days < 7, "< 7 days")
         .when(days < 15, "7-14 days")
@@ -36,7 +36,8 @@ def interval_segment(days: Column) -> Column:
     )
 
 
-def frequency_bucket(orders: Column) -> Column:
+def frequency_bucket(orders: str) -> Column:
+    orders = F.col(orders)
     return (
         F.when(orders == 1, "1 order")
         .when(orders <= 5, "2-5 orders")

@@ -49,7 +49,7 @@ def _reorders() -> Column:
 
 
 def _rate(items: str = "total_items_sold") -> Column:
-    return pct2(F.col("_reorders"), F.col(items)).alias("reorder_rate_pct")
+    return pct2("_reorders", items).alias("reorder_rate_pct")
 
 
 def _largest_first(df: DataFrame, *tie_breakers: str) -> DataFrame:
@@ -74,7 +74,7 @@ def q04_overall_reorder_rate(fact: DataFrame) -> DataFrame:
 
 def q05_avg_products_per_order(fact: DataFrame) -> DataFrame:
     totals = fact.agg(_items(), _orders())
-    return totals.select(ratio2(F.col("total_items_sold"), F.col("total_orders")).alias("avg_products_per_order"))
+    return totals.select(ratio2("total_items_sold", "total_orders").alias("avg_products_per_order"))
 
 
 def q06_top_products(fact: DataFrame) -> DataFrame:
@@ -117,14 +117,14 @@ def q12_orders_by_dow(fact: DataFrame) -> DataFrame:
 
 
 def _day() -> Column:
-    return day_name(F.col("order_dow")).alias("day_name")
+    return day_name("order_dow").alias("day_name")
 
 
 def q13_order_size_distribution(fact: DataFrame) -> DataFrame:
     sizes = fact.groupBy("order_id").agg(_items("_size"))
-    buckets = sizes.groupBy(cart_bucket_start(F.col("_size")).alias("_start")).agg(_items("total_orders"))
+    buckets = sizes.groupBy(cart_bucket_start("_size").alias("_start")).agg(_items("total_orders"))
     return buckets.orderBy("_start").select(
-        cart_bucket_label(F.col("_start")).alias("cart_size_bucket"), "total_orders"
+        cart_bucket_label("_start").alias("cart_size_bucket"), "total_orders"
     )
 
 
@@ -139,7 +139,7 @@ def q15_user_frequency_vs_basket(fact: DataFrame) -> DataFrame:
     baskets = fact.groupBy("user_id", "order_id").agg(_items("_size"))
     users = baskets.groupBy("user_id").agg(_items("order_frequency"), F.sum("_size").alias("_total"))
     rated = users.select(
-        "user_id", "order_frequency", ratio2(F.col("_total"), F.col("order_frequency")).alias("avg_order_size")
+        "user_id", "order_frequency", ratio2("_total", "order_frequency").alias("avg_order_size")
     )
     return rated.orderBy(F.desc("order_frequency"), F.desc("avg_order_size"), "user_id")
 
@@ -159,7 +159,7 @@ def q18_orders_and_cart_by_dow(fact: DataFrame) -> DataFrame:
     sizes = fact.groupBy("order_id").agg(F.min("order_dow").alias("order_dow"), _items("_size"))
     days = sizes.groupBy("order_dow").agg(_items("total_orders"), F.sum("_size").alias("_total"))
     return days.select(
-        "order_dow", _day(), "total_orders", ratio2(F.col("_total"), F.col("total_orders")).alias("avg_cart_size")
+        "order_dow", _day(), "total_orders", ratio2("_total", "total_orders").alias("avg_cart_size")
     ).orderBy(F.asc_nulls_last("order_dow"))
 
 
@@ -179,7 +179,7 @@ def q20_reorder_by_department_dow(fact: DataFrame) -> DataFrame:
         ]
     departments = cells.groupBy("department").agg(*pivoted, F.sum("total_items_sold").alias("total_items_sold"))
     rates = [
-        pct2(F.col(f"_reorders_{dow}"), F.col(f"_items_{dow}")).alias(f"{name.lower()}_reorder_rate_pct")
+        pct2(f"_reorders_{dow}", f"_items_{dow}").alias(f"{name.lower()}_reorder_rate_pct")
         for dow, name in enumerate(DAY_NAMES)
     ]
     return _largest_first(departments.select("department", *rates, "total_items_sold"), "department")
@@ -199,14 +199,14 @@ def q21_product_rank_in_department(fact: DataFrame) -> DataFrame:
 def q22_top_users(fact: DataFrame) -> DataFrame:
     users = fact.groupBy("user_id").agg(_orders(), _items("total_items_bought"))
     top = users.orderBy(F.desc("total_orders"), F.desc("total_items_bought"), "user_id").limit(20)
-    basket = ratio2(F.col("total_items_bought"), F.col("total_orders")).alias("avg_products_per_order")
+    basket = ratio2("total_items_bought", "total_orders").alias("avg_products_per_order")
     return top.select("user_id", "total_orders", "total_items_bought", basket)
 
 
 def q23_cart_position_funnel(fact: DataFrame) -> DataFrame:
     steps = fact.where(F.col("add_to_cart_order") <= FUNNEL_STEPS)
     reached = steps.groupBy("add_to_cart_order").agg(_orders("orders_reaching_step")).orderBy("add_to_cart_order")
-    return reached.select(cart_step(F.col("add_to_cart_order")).alias("cart_step"), "orders_reaching_step")
+    return reached.select(cart_step("add_to_cart_order").alias("cart_step"), "orders_reaching_step")
 
 
 def q24_department_aisle_flow(fact: DataFrame) -> DataFrame:
@@ -230,20 +230,20 @@ def q26_interval_segments(fact: DataFrame) -> DataFrame:
     days = F.col("days_since_prior_order")
     segments = (
         fact.where(days.isNotNull())
-        .groupBy(interval_segment(days).alias("interval_segment"))
+        .groupBy(interval_segment("days_since_prior_order").alias("interval_segment"))
         .agg(_orders(), _items("_items"), _reorders(), F.min(days).alias("_from"))
     )
     return segments.orderBy("_from").select(
         "interval_segment",
         "total_orders",
-        ratio2(F.col("_items"), F.col("total_orders")).alias("avg_basket_size"),
+        ratio2("_items", "total_orders").alias("avg_basket_size"),
         _rate("_items"),
     )
 
 
 def q27_new_vs_returning_by_dow(fact: DataFrame) -> DataFrame:
     def share(value: int, name: str) -> Column:
-        return hundredths(F.col(f"_n{value}"), F.col("_items"), 10_000).alias(name)
+        return hundredths(f"_n{value}", "_items", 10_000).alias(name)
 
     orders = fact.groupBy("order_id").agg(
         F.min("order_dow").alias("order_dow"),
@@ -259,8 +259,8 @@ def q27_new_vs_returning_by_dow(fact: DataFrame) -> DataFrame:
     return days.select(
         "order_dow",
         _day(),
-        mean_of_hundredths(F.col("_new"), F.col("_orders")).alias("avg_pct_new"),
-        mean_of_hundredths(F.col("_returning"), F.col("_orders")).alias("avg_pct_returning"),
+        mean_of_hundredths("_new", "_orders").alias("avg_pct_new"),
+        mean_of_hundredths("_returning", "_orders").alias("avg_pct_returning"),
     ).orderBy(F.asc_nulls_last("order_dow"))
 
 
@@ -281,10 +281,10 @@ def q29_user_frequency_cohorts(fact: DataFrame) -> DataFrame:
     # Per-user values are rounded before they are averaged.
     stats = users.select(
         "_orders",
-        hundredths(F.col("_items"), F.col("_orders"), 100).alias("_basket"),
-        hundredths(F.col("_reorders"), F.col("_items"), 10_000).alias("_rate"),
+        hundredths("_items", "_orders", 100).alias("_basket"),
+        hundredths("_reorders", "_items", 10_000).alias("_rate"),
     )
-    buckets = stats.groupBy(frequency_bucket(F.col("_orders")).alias("frequency_bucket")).agg(
+    buckets = stats.groupBy(frequency_bucket("_orders").alias("frequency_bucket")).agg(
         _items("total_users"),
         F.sum("_basket").alias("_basket"),
         F.sum("_rate").alias("_rate"),
@@ -293,8 +293,8 @@ def q29_user_frequency_cohorts(fact: DataFrame) -> DataFrame:
     return buckets.orderBy("_from").select(
         "frequency_bucket",
         "total_users",
-        mean_of_hundredths(F.col("_basket"), F.col("total_users")).alias("avg_basket_size"),
-        mean_of_hundredths(F.col("_rate"), F.col("total_users")).alias("avg_reorder_rate_pct"),
+        mean_of_hundredths("_basket", "total_users").alias("avg_basket_size"),
+        mean_of_hundredths("_rate", "total_users").alias("avg_reorder_rate_pct"),
     )
 
 
@@ -313,8 +313,8 @@ def kpis(fact: DataFrame) -> DataFrame:
         "total_unique_orders",
         "total_unique_users",
         "total_products_sold",
-        pct2(F.col("_reorders"), F.col("total_products_sold")).alias("reorder_rate_pct"),
-        ratio2(F.col("total_products_sold"), F.col("total_unique_orders")).alias("avg_products_per_order"),
+        pct2("_reorders", "total_products_sold").alias("reorder_rate_pct"),
+        ratio2("total_products_sold", "total_unique_orders").alias("avg_products_per_order"),
     )
 
 

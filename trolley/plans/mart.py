@@ -48,15 +48,15 @@ def _reorders() -> Column:
 
 
 def _rate() -> Column:
-    return pct2(F.col("_reorders"), F.col("_items")).alias("reorder_rate_pct")
+    return pct2("_reorders", "_items").alias("reorder_rate_pct")
 
 
 def _basket(orders: str, name: str) -> Column:
-    return ratio2(F.col("_items"), F.col(orders)).alias(name)
+    return ratio2("_items", orders).alias(name)
 
 
 def _day() -> Column:
-    return day_name(F.col("order_dow")).alias("day_name")
+    return day_name("order_dow").alias("day_name")
 
 
 def _q01(mart: DataFrame) -> DataFrame:
@@ -78,8 +78,8 @@ def _q12(mart: DataFrame) -> DataFrame:
 
 
 def _q13(mart: DataFrame) -> DataFrame:
-    buckets = mart.groupBy(cart_bucket_start(F.col("n_items")).alias("_start")).agg(_orders())
-    label = cart_bucket_label(F.col("_start")).alias("cart_size_bucket")
+    buckets = mart.groupBy(cart_bucket_start("n_items").alias("_start")).agg(_orders())
+    label = cart_bucket_label("_start").alias("cart_size_bucket")
     return buckets.orderBy("_start").select(label, "total_orders")
 
 
@@ -116,7 +116,7 @@ def _q26(mart: DataFrame) -> DataFrame:
     days = F.col("days_since_prior_order")
     segments = (
         mart.where(days.isNotNull())
-        .groupBy(interval_segment(days).alias("interval_segment"))
+        .groupBy(interval_segment("days_since_prior_order").alias("interval_segment"))
         .agg(_orders(), _items(), _reorders(), F.min(days).alias("_from"))
     )
     basket = _basket("total_orders", "avg_basket_size")
@@ -124,11 +124,10 @@ def _q26(mart: DataFrame) -> DataFrame:
 
 
 def _q27(mart: DataFrame) -> DataFrame:
-    new = F.col("n_items") - F.col("n_reordered")
     rounded = mart.select(
         "order_dow",
-        hundredths(new, F.col("n_items"), 10_000).alias("_new"),
-        hundredths(F.col("n_reordered"), F.col("n_items"), 10_000).alias("_returning"),
+        hundredths("n_items - n_reordered", "n_items", 10_000).alias("_new"),
+        hundredths("n_reordered", "n_items", 10_000).alias("_returning"),
     )
     days = rounded.groupBy("order_dow").agg(
         F.sum("_new").alias("_new"), F.sum("_returning").alias("_returning"), _orders()
@@ -136,8 +135,8 @@ def _q27(mart: DataFrame) -> DataFrame:
     return days.select(
         "order_dow",
         _day(),
-        mean_of_hundredths(F.col("_new"), F.col("total_orders")).alias("avg_pct_new"),
-        mean_of_hundredths(F.col("_returning"), F.col("total_orders")).alias("avg_pct_returning"),
+        mean_of_hundredths("_new", "total_orders").alias("avg_pct_new"),
+        mean_of_hundredths("_returning", "total_orders").alias("avg_pct_returning"),
     ).orderBy(F.asc_nulls_last("order_dow"))
 
 
@@ -145,10 +144,10 @@ def _q29(mart: DataFrame) -> DataFrame:
     users = mart.groupBy("user_id").agg(_orders(), _items(), _reorders())
     stats = users.select(
         "total_orders",
-        hundredths(F.col("_items"), F.col("total_orders"), 100).alias("_basket"),
-        hundredths(F.col("_reorders"), F.col("_items"), 10_000).alias("_rate"),
+        hundredths("_items", "total_orders", 100).alias("_basket"),
+        hundredths("_reorders", "_items", 10_000).alias("_rate"),
     )
-    buckets = stats.groupBy(frequency_bucket(F.col("total_orders")).alias("frequency_bucket")).agg(
+    buckets = stats.groupBy(frequency_bucket("total_orders").alias("frequency_bucket")).agg(
         _orders("total_users"),
         F.sum("_basket").alias("_basket"),
         F.sum("_rate").alias("_rate"),
@@ -157,8 +156,8 @@ def _q29(mart: DataFrame) -> DataFrame:
     return buckets.orderBy("_from").select(
         "frequency_bucket",
         "total_users",
-        mean_of_hundredths(F.col("_basket"), F.col("total_users")).alias("avg_basket_size"),
-        mean_of_hundredths(F.col("_rate"), F.col("total_users")).alias("avg_reorder_rate_pct"),
+        mean_of_hundredths("_basket", "total_users").alias("avg_basket_size"),
+        mean_of_hundredths("_rate", "total_users").alias("avg_reorder_rate_pct"),
     )
 
 
