@@ -65,7 +65,9 @@ def main() -> None:
         name: median_seconds(lambda query=query: execute(query(spark, SF_DIR))) for name, query in QUERIES.items()
     }
     mart_table = workspace(spark).materialise(order_mart(retail.fact(spark, SF_DIR)), "mart")
-    mart = {name: median_seconds(lambda query=query: execute(query(mart_table))) for name, query in MART_QUERIES.items()}
+    mart = {
+        name: median_seconds(lambda query=query: execute(query(mart_table))) for name, query in MART_QUERIES.items()
+    }
     report = {
         "metric": "total seconds, all queries plus one-time setup",
         "value": round(sum(queries.values()) + sum(setup.values()), 3),

@@ -32,7 +32,7 @@ def size_shuffles(spark: SparkSession, size: int) -> int:
     """Make sure this session's shuffles of ``size`` input bytes start with partitions that fit a task.
 
     Only raises the number, never lowers what the session was configured with; adaptive execution merges what turns
-    out small; returns the number in effect. At 100 TB of input the default of 200 would leave terabytes to a single task.
+    out small; returns the number in effect. At 100 TB of input the default of 200 would leave terabytes to one task.
     """
     current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS))
     wanted = partitions_for(size)
