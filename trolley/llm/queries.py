@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import mixing, sharding
+from trolley.llm import mixing, quality, sharding, simhash
 from trolley.llm.common import crc32_text, table
 
 
@@ -28,7 +28,19 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", simhash.hex_digits("print").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mix": op5_mix,
     "op8_shards": op8_shards,
+    "op9_quality": op9_quality,
+    "op10_simhash": op10_simhash,
 }

@@ -5,8 +5,7 @@ that of the id's. Splitters are found by counting, not by sorting: a round count
 every candidate boundary (the next digits of the key), takes the nearest candidate for each splitter, and goes deeper
 only where none is within the tolerance. Then all rows are exchanged once, by range.
 
-Each shard is cut into ``parts`` ranges of a bounded number of rows, so a shard's positions are numbered range by
-range; the histogram already knows how many rows lie below each. A group of copies is split only when leaving it
+Each shard is cut into ``parts`` ranges of bounded size, so a shard's positions are numbered range by range; the histogram already knows how many rows lie below each. A group of copies is split only when leaving it
 whole would put a splitter out of tolerance.
 """
 
@@ -23,7 +22,8 @@ from trolley.llm.common import materialise
 KEY_DIGITS = 32
 FIRST_DIGITS = 3
 MAX_PROBES = 262_144
-ROWS_PER_RANGE = 250_000
+RANGE_BYTES = 1 << 30  # one task's share of a shard
+RANGE_TOLERANCE = 0.25
 LAST = "g"  # above every hex digit
 
 
@@ -46,16 +46,15 @@ class _Open:
         self.prefix, self.end, self.size, self.rows, self.targets = prefix, end, size, rows, targets
 
 
-def find_splitters(keyed: DataFrame, pieces: int, tolerance: float) -> list[tuple[str, int]]:
-    """The ``pieces - 1`` boundaries that cut ``(_key, _size)`` into pieces of near equal bytes, each with the number of
-    rows below it.
+def find_splitters(keyed: DataFrame, total: int, shards: int, parts: int, tolerance: float) -> list[tuple[str, int]]:
+    """The boundaries that cut ``(_key, _size)``, ``total`` bytes, into ``shards`` times ``parts`` pieces of near equal
+    bytes, each with the number of rows below it.
 
-    Wants ``i / pieces`` of all bytes below boundary ``i``. ``tolerance`` is the accepted miss as a part of a piece;
-    where rows are too long for it, the nearest boundary between two keys is taken. The driver holds at most
-    MAX_PROBES counts a round.
+    ``tolerance`` is the accepted miss of a boundary between shards, as a part of a shard; within shards
+    RANGE_TOLERANCE of a piece will do. Where rows are too long for it, the nearest boundary between two keys is taken.
+    The driver holds the counts of a round: a few for each piece, at least MAX_PROBES.
     """
-    total = keyed.agg(F.sum("_size")).first()[0] or 0
-    accepted = tolerance * total / pieces
+    pieces = shards * parts
     found: dict[int, tuple[str, int]] = {}
     opened = [_Open("", LAST, 0, 0, list(range(1, pieces)))] if total else []
     depth = 0
@@ -86,6 +85,7 @@ def find_splitters(keyed: DataFrame, pieces: int, tolerance: float) -> list[tupl
                 while edges[k + 1][0] < target:
                     k += 1
                 size, rows, name = min(edges[k], edges[k + 1], key=lambda e: (abs(e[0] - target), e[0]))
+                accepted = tolerance * total / shards if i % parts == 0 else RANGE_TOLERANCE * total / pieces
                 if abs(size - target) <= accepted or deeper == KEY_DIGITS or own[k]["rows"] == 1:
                     found[i] = (name, rows)
                 else:
@@ -123,8 +123,9 @@ def shard(documents: DataFrame, shards: int = 40, tolerance: float = 0.002) -> D
     Empty table: empty result.
     """
     keyed = materialise(documents.select(sort_key().alias("_key"), row_bytes().alias("_size")), "shard-keys")
-    parts = max(1, ceil(keyed.count() / shards / ROWS_PER_RANGE))
-    cuts = find_splitters(keyed, shards * parts, tolerance)
+    total = keyed.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    parts = max(1, ceil(total / shards / RANGE_BYTES))
+    cuts = find_splitters(keyed, total, shards, parts, tolerance)
     starts = [0, *(rows for _, rows in cuts)]
     first = [starts[i - i % parts] for i in range(len(starts))]
     offsets = F.from_json(F.lit(json.dumps([a - b for a, b in zip(starts, first, strict=True)])), "array<bigint>")
