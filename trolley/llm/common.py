@@ -28,6 +28,12 @@ def crc32_text(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def row_key() -> Column:
+    """A document row's identity: id and digest of the text. Null and empty text share a digest; a null id is no id."""
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), digest)
+
+
 def doc_id_fold(n: int) -> Column:
     """Fold of a document: crc32 of its id as text, modulo ``n``. A null id has fold 0, the crc32 of nothing."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n

@@ -60,39 +60,43 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], most_epochs: in
 
 
 def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs: int = 3, seed: int = 5) -> DataFrame:
-    """How many words of each document the mix takes: ``doc_id, source, size, source_size, target, taken``.
+    """All rows and columns of ``documents`` with ``size``, ``source_size``, ``target`` (of its source) and ``taken``:
+    how many of its words the mix takes, repeats counted; these replace columns of the same name.
 
-    ``taken`` counts repeats; the document on which a source's cut falls is taken up to the cut, so a source's taken
-    words are its rounded target. Null source: a source of its own, last in order. Null or empty text: size 0, takes
-    0. Null doc_id: keyed like an empty id. Ties of the key are ordered by doc_id, then size; rows alike in all
-    of these are interchangeable. Repeated rows each count. Empty table: empty result. Other columns are ignored.
+    The document on which a source's cut falls is taken up to the cut, so a source's taken words are its rounded
+    target. Null source: a source of its own, last in order. Null or empty text: size 0, takes 0. Null doc_id: keyed
+    like an empty id. Ties of the key are ordered by doc_id, size and a hash of the text; rows alike in all of these
+    are interchangeable. Repeated rows each count. Empty table: empty result.
     """
-    sized = documents.select(
-        "doc_id",
-        "source",
-        F.col("source").isNull().alias("_none"),
-        F.coalesce("source", F.lit("")).alias("_source"),
-        word_count(F.col("text")).alias("size"),
-        random_key(seed).alias("_key"),
+    documents = documents.drop("size", "source_size", "target", "taken")
+    keyed = documents.withColumns(
+        {
+            "_none": F.col("source").isNull(),
+            "_source": F.coalesce("source", F.lit("")),
+            "size": word_count(F.col("text")),
+            "_key": random_key(seed),
+        }
     )
-    sized = materialise(sized, "sizes")  # so that the texts are read once
-    digits = max(1, round(log(sqrt(max(sized.count(), 1)), 16)))
-    sized = sized.withColumn("_slot", F.substring("_key", 1, digits))
+    counted = materialise(keyed.select("_none", "_source", "size", "_key"), "sizes")
+    digits = max(1, round(log(sqrt(max(counted.count(), 1)), 16)))
+    slot = F.substring("_key", 1, digits)
 
-    slots = materialise(sized.groupBy("_none", "_source", "_slot").agg(F.sum("size").alias("_words")), "slots")
+    slots = counted.groupBy("_none", "_source", slot.alias("_slot")).agg(F.sum("size").alias("_words"))
+    slots = materialise(slots, "slots")
     sources = slots.groupBy("_none", "_source").agg(F.sum("_words").alias("source_size"))
     targets = source_targets(sources, weights, most_epochs)
     earlier = Window.partitionBy("_none", "_source").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = slots.withColumn("_start", F.coalesce(F.sum("_words").over(earlier), F.lit(0))).drop("_words")
-    starts = starts.join(targets, ["_none", "_source"])
+    starts = starts.join(targets, ["_none", "_source"]).drop("_rank", "_weight")
 
-    by_slot = Window.partitionBy("_none", "_source", "_slot").orderBy("_key", "doc_id", "size")
+    by_slot = Window.partitionBy("_none", "_source", "_slot").orderBy("_key", "doc_id", "size", "_tie")
     within = F.coalesce(F.sum("size").over(by_slot.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = sized.withColumn("_within", within).join(starts, ["_none", "_source", "_slot"])
+    placed = keyed.withColumns({"_slot": slot, "_tie": F.xxhash64("text")}).withColumn("_within", within)
+    placed = placed.join(starts, ["_none", "_source", "_slot"])
 
     budget = F.round("target").cast("bigint")
     epochs = F.coalesce(F.try_divide(budget, F.col("source_size")).cast("bigint"), F.lit(0))
     rest = budget - epochs * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start") - F.col("_within")))
     taken = (epochs * F.col("size") + last).cast("bigint")
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return placed.withColumn("taken", taken).select(*documents.columns, "size", "source_size", "target", "taken")

@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import mixing, quality, sharding, simhash
+from trolley.llm import decontaminate, mixing, quality, sharding, simhash
 from trolley.llm.common import crc32_text, table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256")
+    return checked.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,6 +45,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op5_mix": op5_mix,
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,

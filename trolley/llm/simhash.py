@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from trolley.llm.common import materialise
+from trolley.llm.common import materialise, row_key
 from trolley.llm.components import star_forest
 
 BITS = 64
@@ -213,21 +213,32 @@ def links(prints: DataFrame, budget: int = 4) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, budget: int = 4) -> DataFrame:
-    """``doc_id, print, component_id`` for every row: the 64-bit fingerprint, and the smallest doc_id among all
-    documents that a chain of links of at most ``budget`` differing bits reaches.
+    """``doc_id, row_key, print, component, component_id`` for every row: ``common.row_key``, the 64-bit fingerprint, the
+    smallest fingerprint that a chain of links of at most ``budget`` differing bits reaches, and the smallest doc_id
+    among all documents it reaches.
 
     Null, empty and blank texts have fingerprint 0 and link like any other. A null doc_id never is a component's id
     unless all its ids are null: then that is null. Repeated rows each get a row. Empty table: empty result. Other
     columns are ignored. Ties need no rule: the result does not depend on the order of anything.
     """
-    docs = documents.select("doc_id", fingerprint_udf(F.col("text")).alias("print"))
+    docs = documents.select("doc_id", row_key().alias("row_key"), fingerprint_udf(F.col("text")).alias("print"))
     docs = materialise(docs, "prints")  # texts are read once
     prints = materialise(docs.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-prints")
     stars = star_forest(links(prints.select("print"), budget))
 
     labelled = prints.join(stars.select(F.col("a").alias("print"), "b"), "print", "left")
-    labelled = labelled.withColumn("label", F.coalesce("b", "print"))
-    of_label = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_print = labelled.join(of_label, "label").select("print", "component_id")
+    labelled = labelled.withColumn("component", F.coalesce("b", "print"))
+    of_component = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_print = labelled.join(of_component, "component").select("print", "component", "component_id")
     # A print may have a third of all documents: adaptive execution splits that side of the join.
-    return docs.join(of_print, "print").select("doc_id", "print", "component_id")
+    return docs.join(of_print, "print").select("doc_id", "row_key", "print", "component", "component_id")
+
+
+def deduplicate(documents: DataFrame, budget: int = 4) -> DataFrame:
+    """One row of ``documents`` for each group of near duplicates: that of the smallest doc_id (null last), among rows
+    of one id the smallest row key; of rows alike in both, any one. All columns stay."""
+    groups = near_duplicates(documents, budget)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))  # combines in the map tasks
+    kept = groups.groupBy("component").agg(first.alias("first")).select(F.col("first.row_key").alias("_row_key"))
+    keyed = documents.withColumn("_row_key", row_key())
+    return keyed.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*documents.columns)

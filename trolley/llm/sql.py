@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
+OP1_DECONTAMINATE = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+windows AS (
+    SELECT DISTINCT item_id, w[i + 1 : i + 13] AS win
+    FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)
+),
+widths AS (SELECT DISTINCT len(win) AS n FROM windows),
+grams AS (
+    SELECT doc_id, i, n, w[i + 1 : i + n] AS win
+    FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM d, widths WHERE len(w) >= n)
+),
+hits AS (SELECT g.doc_id, g.i, g.n, x.item_id FROM grams g JOIN windows x USING (win)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+              FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 # Targets without iteration: with sources ordered by cap / weight, the level that the uncapped share is fixed by the
 # first source that stays below its cap.
 OP5_MIX = r"""
@@ -45,5 +74,6 @@ FROM placed
 """
 
 ORACLE_SQL = {
+    "op1_decontaminate": OP1_DECONTAMINATE,
     "op5_mix": OP5_MIX,
 }
