@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontaminate, mixing, quality, sharding, simhash
+from trolley.llm import decontaminate, language, mixing, quality, secrets, sharding, simhash
 from trolley.llm.common import crc32_text, table
 
 
@@ -17,11 +17,36 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.array(*map(F.lit, (secrets.ASSIGN, secrets.ACCESS, secrets.HEX)))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    own = F.filter("secrets", lambda s: F.array_contains(base, s["kind"]))
+    return found.select(
+        "doc_id",
+        number(secrets.ASSIGN).alias("n_assign"),
+        number(secrets.ACCESS).alias("n_access"),
+        number(secrets.HEX).alias("n_hex"),
+        F.sha2(joined(own).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -46,7 +71,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_language": op3_language,
     "op5_mix": op5_mix,
+    "op7_secrets": op7_secrets,
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
