@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontaminate, language, mixing, quality, secrets, sharding, simhash
+from trolley.llm import decontaminate, language, mixing, quality, secrets, sharding, simhash, tokens
 from trolley.llm.common import crc32_text, table
+from trolley.workspace import workspace
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op2_tokens(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """``tokenizer``: path of the vocabulary file; by default that of the installed public one."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    out = workspace(spark).fresh("token-files")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), tokenizer, out)
+    return tokens.read_tokens(spark, out, with_ids=False)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -71,6 +83,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_tokens": op2_tokens,
     "op3_language": op3_language,
     "op5_mix": op5_mix,
     "op7_secrets": op7_secrets,
