@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontaminate, language, mixing, quality, secrets, sharding, simhash, tokens
+from trolley.llm import decontaminate, language, licenses, mixing, quality, secrets, sharding, simhash, tokens
 from trolley.llm.common import crc32_text, table
 from trolley.workspace import workspace
 
@@ -33,6 +33,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join(F.col("sentence_ids").cast("array<string>"), ",").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -85,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_tokens": op2_tokens,
     "op3_language": op3_language,
+    "op4_licenses": op4_licenses,
     "op5_mix": op5_mix,
     "op7_secrets": op7_secrets,
     "op8_shards": op8_shards,

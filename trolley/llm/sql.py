@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from trolley.llm.licenses import RULES, SENTENCES
+
 OP1_DECONTAMINATE = r"""
 WITH d AS (
     SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -31,6 +33,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+_SENTENCE_ROWS = ", ".join(f"({i}, '{text}')" for i, text in SENTENCES.items())
+_RULE_ROWS = ", ".join(f"('{name}', ',{','.join(map(str, ids))},')" for name, ids in RULES)
+
+OP4_LICENSES = rf"""
+WITH sentences(id, sentence) AS (VALUES {_SENTENCE_ROWS}),
+rules(license, ids) AS (VALUES {_RULE_ROWS}),
+pieces AS (
+    SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS i
+    FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?;:]+[ \t\r\f]+|[ \t\r\f]*\n\s*') AS p FROM documents)
+),
+found AS (
+    SELECT doc_id, string_agg(id::VARCHAR, ',' ORDER BY i) AS ids
+    FROM pieces JOIN sentences
+      ON trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^a-z0-9]+', ' ', 'g')) = sentence
+    GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(f.ids, '') AS sentence_ids,
+       coalesce((SELECT string_agg(DISTINCT license, ',' ORDER BY license) FROM rules
+                 WHERE contains(',' || f.ids || ',', rules.ids)), '') AS licenses
+FROM documents d LEFT JOIN found f USING (doc_id)
+"""
+
 # Targets without iteration: with sources ordered by cap / weight, the level that the uncapped share is fixed by the
 # first source that stays below its cap.
 OP5_MIX = r"""
@@ -75,5 +100,6 @@ FROM placed
 
 ORACLE_SQL = {
     "op1_decontaminate": OP1_DECONTAMINATE,
+    "op4_licenses": OP4_LICENSES,
     "op5_mix": OP5_MIX,
 }
