@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontaminate, language, licenses, mixing, quality, secrets, sharding, simhash, tokens
+from trolley.llm import decontaminate, language, licenses, mixing, quality, search, secrets, sharding, simhash, tokens
 from trolley.llm.common import crc32_text, table
 from trolley.workspace import workspace
 
@@ -47,6 +47,11 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+    return found.select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     base = F.array(*map(F.lit, (secrets.ASSIGN, secrets.ACCESS, secrets.HEX)))
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
     "op5_mix": op5_mix,
+    "op6_search": op6_search,
     "op7_secrets": op7_secrets,
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,
