@@ -33,12 +33,12 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Training:
     most_rows: int = 8_000  # labelled documents learnt from, at most (in expectation)
-    trainers: int = 4
-    passes: int = 3
-    alpha: float = 0.5
+    trainers: int = 2
+    passes: int = 4
+    alpha: float = 8.0
     beta: float = 1.0
-    l1: float = 0.002
-    l2: float = 0.02
+    l1: float = 0.0005
+    l2: float = 0.0
 
 
 def shape(token: str) -> str:
