@@ -31,7 +31,9 @@ def feed(spark, *changes):
         ("days_since_prior_order", "7.0", 7),
         ("days_since_prior_order", None, None),
         ("order_hour_of_day", "12.7", 12),
-        ("order_number", "70000", None),
+        ("order_number", "70000", 70000),
+        ("order_number", "99999999999999999999", None),
+        ("aisle_id", "65535", 65535),
         ("order_dow", "300", None),
         ("reordered", "x", None),
         ("reordered", "", None),
@@ -50,7 +52,7 @@ def test_text_to_type(spark, column, text, value):
 
 def test_numbers_to_type(spark):
     wide = type_columns(feed(spark, {})).withColumns(
-        {"order_number": F.lit(70000), "days_since_prior_order": F.lit(7.9), "order_dow": F.lit(3)}
+        {"order_number": F.lit(1e30), "days_since_prior_order": F.lit(7.9), "order_dow": F.lit(3)}
     )
     r = type_columns(wide).first()
     assert (r.order_number, r.days_since_prior_order, r.order_dow) == (None, 7, 3)

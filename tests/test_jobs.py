@@ -168,3 +168,47 @@ def test_new_rows_ignores_copies(spark):
     assert [r.order_id for r in serving.new_rows(clean.unionByName(clean), twice).collect()] == [2]
     onto_nothing = serving.new_rows(clean, clean.limit(0)).drop("ingested_at")
     assert rows(onto_nothing) == rows(clean.drop("ingested_at"))
+
+
+def test_odd_folder_names_are_cleaned_up(spark, at):
+    """Spark names scanned files in encoded form; the files must go all the same, or the next run loads them again."""
+    odd = jobs.Locations(at.payloads, f"{at.raw} c%20d", at.processed, at.warehouse, at.database)
+    for batch in ("b 1", "100%"):
+        jobs.ingest(spark, odd, batch)
+        assert jobs.run(spark, odd) == 6
+    assert spark.table(at.table).count() == 12
+    with pytest.raises(NoStagedFiles):
+        jobs.stage(spark, odd)
+
+
+def test_failed_cleanup_is_an_error(spark, at, monkeypatch):
+    jobs.ingest(spark, at, "b1")
+    monkeypatch.setattr(jobs, "remove", lambda spark, paths: paths[:1])
+    with pytest.raises(jobs.CleanupFailed, match="6 rows are loaded, but 1 paths"):
+        jobs.run(spark, at)
+
+
+def test_empty_rerun_keeps_the_earlier_batch(spark, at):
+    jobs.ingest(spark, at, "b1")
+    empty = jobs.read_payloads(spark, at.payloads).where("total_orders < 0")
+    with pytest.raises(EmptyBatch):
+        land_batch(jobs.flatten_orders(empty), at.raw, "b1")
+    assert jobs.run(spark, at) == 6
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_odd_names_survive_landing(spark, at, fmt):
+    names = ['Milk "2%", 1l', "back\\slash", "two\nlines", 'ends with "', "plain", "'quoted'", "a,b"]
+    items = feed(spark, *[{"order_id": str(i), "product_name": n} for i, n in enumerate(names)])
+    land_batch(items.select(*[F.col(c).try_cast(t) for c, t in LANDED_TYPES.items()]), at.raw, "b1", fmt)
+    assert jobs.run(spark, at) == len(names)
+    assert [r.product_name for r in spark.table(at.table).orderBy("order_id").collect()] == names
+
+
+def test_a_large_order_comes_through_whole(spark, at):
+    items = feed(spark, {}).withColumn("add_to_cart_order", F.explode(F.sequence(F.lit(1), F.lit(40_000))))
+    items = items.withColumn("order_number", F.col("add_to_cart_order") + 30_000)
+    land_batch(items.select(*[F.col(c).try_cast(t) for c, t in LANDED_TYPES.items()]), at.raw, "b1")
+    assert jobs.run(spark, at) == 40_000
+    top = spark.table(at.table).agg(F.max("add_to_cart_order"), F.max("order_number")).first()
+    assert tuple(top) == (40_000, 70_000)

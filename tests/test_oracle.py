@@ -4,8 +4,10 @@ import __spark_entry__ as entry_points
 import pytest
 from compare import connect, differences
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+from trolley.oracle import oracle_sql
+from trolley.plans.registry import QUERIES
+
+SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql_and_every_sql_a_query():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -47,6 +47,7 @@ fact AS (
   JOIN products ON l_partkey = p_partkey
 )"""
 
+# Column names in order.
 COLUMNS = (
     "order_id, user_id, order_number, order_dow, order_hour_of_day, days_since_prior_order, eval_set, "
     "product_id, product_name, aisle_id, aisle, department_id, department, add_to_cart_order, reordered"
@@ -57,7 +58,7 @@ DIRTY = """
 dirty_once AS (
   SELECT CAST(order_id AS VARCHAR) AS order_id,
          CASE WHEN order_id % 89 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
-         CASE WHEN order_id % 79 = 0 THEN '70000' ELSE CAST(order_number AS VARCHAR) END AS order_number,
+         CASE WHEN order_id % 79 = 0 THEN '99999999999999999999' ELSE CAST(order_number AS VARCHAR) END AS order_number,
          CAST(order_dow AS VARCHAR) AS order_dow,
          CAST(order_hour_of_day AS VARCHAR) || CASE WHEN order_id % 73 = 0 THEN '.7' ELSE '' END AS order_hour_of_day,
          CAST(days_since_prior_order AS VARCHAR) || '.0' AS days_since_prior_order,
@@ -78,21 +79,22 @@ dirty AS (
   SELECT * FROM dirty_once WHERE CAST(product_id AS BIGINT) % 10 = 0
 )"""
 
+# Columns in order, with types wide enough for the data model's unsigned columns.
 _TYPES = {
     "order_id": "BIGINT",
     "user_id": "BIGINT",
-    "order_number": "SMALLINT",
+    "order_number": "BIGINT",
     "order_dow": "TINYINT",
     "order_hour_of_day": "TINYINT",
-    "days_since_prior_order": "SMALLINT",
+    "days_since_prior_order": "INTEGER",
     "eval_set": "VARCHAR",
     "product_id": "BIGINT",
     "product_name": "VARCHAR",
-    "aisle_id": "SMALLINT",
+    "aisle_id": "INTEGER",
     "aisle": "VARCHAR",
-    "department_id": "SMALLINT",
+    "department_id": "INTEGER",
     "department": "VARCHAR",
-    "add_to_cart_order": "SMALLINT",
+    "add_to_cart_order": "BIGINT",
     "reordered": "TINYINT",
 }
 
@@ -320,6 +322,12 @@ def _profile(column: str) -> str:
         FROM fact"""
 
 
+# The CSV batch of the mixed landing has odd product names.
+_ODD_NAMES = f"""SELECT {COLUMNS.replace("product_name", """
+    product_name || CASE WHEN order_hour_of_day >= 16 AND order_id % 50 = 0
+                         THEN ' "2%", 1l\\x' || chr(10) || 'new' ELSE '' END AS product_name""")} FROM clean_fact"""
+
+
 def oracle_sql() -> dict[str, str]:
     statements = {name: _on(select=sql) for name, sql in _dashboard().items()}
     whole_fact = _on(select=f"SELECT {COLUMNS} FROM fact")
@@ -331,7 +339,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_order_items": whole_fact,
         "flatten_orders": landed_fact,
         "idempotent_append": whole_fact,
-        "union_staged": _on(CLEAN_FACT, select=f"SELECT {COLUMNS} FROM clean_fact"),
+        "union_staged": _on(CLEAN_FACT, select=_ODD_NAMES),
         "ingest_metrics": _on(
             select="""SELECT count(*) AS rows_written, count(DISTINCT order_id) AS orders_with_products,
                              count(DISTINCT order_id) AS declared_orders FROM fact"""

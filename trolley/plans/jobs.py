@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
 
 from trolley.operators.clean import clean_orders
 from trolley.operators.flatten import flatten_orders
-from trolley.sinks.files import land_batch, remove, write_processed
+from trolley.sinks.files import land_batch, plain_paths, remove, write_processed
 from trolley.sinks.serving import TABLE, append, create_serving_objects
 from trolley.sources.payloads import read_payloads
 from trolley.sources.staged import read_staged_orders
 from trolley.sources.tables import read_processed
 
-log = logging.getLogger(__name__)
+class CleanupFailed(OSError):
+    """Rows were loaded, but files they came from are still staged: the next run would load them again."""
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,8 @@ class Staged:
 def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None) -> Staged:
     """Clean everything staged and overwrite the processed dataset."""
     staged = read_staged_orders(spark, at.raw)
-    return Staged(write_processed(clean_orders(staged, ingested_at), at.processed), staged.inputFiles())
+    files = plain_paths(spark, list(staged.inputFiles()))
+    return Staged(write_processed(clean_orders(staged, ingested_at), at.processed), files)
 
 
 def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
@@ -70,9 +71,12 @@ def cleanup(spark: SparkSession, at: Locations, staged: Staged) -> list[str]:
 
 
 def run(spark: SparkSession, at: Locations, ingested_at: Column | None = None, idempotent: bool = False) -> int:
-    """Stage, load, and only then clean up what was loaded; returns the rows added."""
+    """Stage, load, and only then clean up what was loaded; returns the rows added.
+
+    A file that cannot be removed is an error: remove it, or make the next load idempotent.
+    """
     staged = stage(spark, at, ingested_at)
     added = load(spark, at, idempotent)
-    for path in cleanup(spark, at, staged):
-        log.warning("could not remove %s", path)
+    if left := cleanup(spark, at, staged):
+        raise CleanupFailed(f"{added} rows are loaded, but {len(left)} paths could not be removed, e.g. {left[0]}")
     return added

@@ -23,6 +23,7 @@ from trolley.operators.skew import (
     split_by_hot,
 )
 from trolley.schema import LANDED_TYPES, ORDER_COLUMNS, ORDER_FIELDS, PRODUCT_FIELDS
+from trolley.sinks.files import CSV_OPTIONS
 from trolley.sizing import input_bytes, partitions_for, shuffle_partitions, size_shuffles
 from trolley.workspace import Workspace, workspace
 
@@ -212,7 +213,7 @@ def dirty_feed(items: DataFrame, copies: bool = True) -> DataFrame:
         "product_name": F.when(every(97) & (position == 1), F.lit(None)).otherwise(F.col("product_name")),
         "user_id": F.when(every(89), F.lit(None)).otherwise(F.col("user_id")),
         "reordered": F.when(every(83) & (position == 2), "x").otherwise(F.col("reordered").cast("string")),
-        "order_number": F.when(every(79), "70000").otherwise(F.col("order_number").cast("string")),
+        "order_number": F.when(every(79), "99999999999999999999").otherwise(F.col("order_number").cast("string")),
         "days_since_prior_order": F.concat(F.col("days_since_prior_order").cast("string"), F.lit(".0")),
         "order_hour_of_day": F.concat(
             F.col("order_hour_of_day").cast("string"), F.when(every(73), ".7").otherwise("")
@@ -254,7 +255,7 @@ def payload_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def mixed_landing_path(spark: SparkSession, sf_dir: str) -> str:
-    """The fact landed in three ways: Parquet with integer days, Parquet with double days, CSV text."""
+    """The fact landed in three ways: Parquet with integer days, Parquet with double days, CSV text with odd names."""
 
     def write(path: str) -> str:
         items = fact(spark, sf_dir).select(*[F.col(c).cast(t) for c, t in LANDED_TYPES.items()])
@@ -264,7 +265,10 @@ def mixed_landing_path(spark: SparkSession, sf_dir: str) -> str:
         days = "days_since_prior_order"
         early.write.parquet(f"{path}/batch=integers")
         midday.withColumn(days, F.col(days).cast("double")).write.parquet(f"{path}/batch=doubles")
-        late.withColumn(days, F.col(days).cast("double")).write.option("header", True).csv(f"{path}/batch=text")
+        # Names with quotes, separators, backslashes and line breaks must come through CSV as they are.
+        name = F.concat("product_name", F.when(F.col("order_id") % 50 == 0, F.lit(' "2%", 1l\\x\nnew')).otherwise(""))
+        late = late.withColumns({days: F.col(days).cast("double"), "product_name": name})
+        late.write.options(**CSV_OPTIONS).csv(f"{path}/batch=text")
         return path
 
     return workspace(spark).once("mixed-landing", sf_dir, write)

@@ -5,8 +5,9 @@ Three stages share the same 15 column names and differ only in width:
 * ``LANDED`` - what the landing writer emits. Every number is BIGINT, so all batches have the same Parquet
   footer whether or not they hold nulls.
 * ``CLEAN`` - the typed table after cleaning. Ids are BIGINT: the serving ids are unsigned 32-bit, which INT
-  cannot hold, and order counts pass 2^31 long before 100 TB. Small-domain columns stay narrow; a value outside
-  the domain becomes NULL and is reported as a reject.
+  cannot hold, and order counts pass 2^31 long before 100 TB. So are positions: a large user's order number or a
+  large order's line passes SMALLINT. Small-domain columns stay narrow; a value outside the type becomes NULL and, in a
+  key column, is reported as a reject.
 * ``NESTED`` - the order document as it arrives: orders, each holding its products.
 """
 
@@ -57,18 +58,18 @@ TEXT_COLUMNS = ["eval_set", "product_name", "aisle", "department"]
 CLEAN_TYPES = {
     "order_id": "bigint",
     "user_id": "bigint",
-    "order_number": "smallint",
+    "order_number": "bigint",
     "order_dow": "tinyint",
     "order_hour_of_day": "tinyint",
-    "days_since_prior_order": "smallint",
+    "days_since_prior_order": "int",
     "eval_set": "string",
     "product_id": "bigint",
     "product_name": "string",
-    "aisle_id": "smallint",
+    "aisle_id": "int",
     "aisle": "string",
-    "department_id": "smallint",
+    "department_id": "int",
     "department": "string",
-    "add_to_cart_order": "smallint",
+    "add_to_cart_order": "bigint",
     "reordered": "tinyint",
 }
 

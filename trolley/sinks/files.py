@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,9 @@ from pyspark.sql import functions as F
 from trolley.schema import ORDER_COLUMNS
 
 LANDING_FORMATS = ("parquet", "csv")
+# Quotes inside a field are doubled; a field may hold line breaks, so a file is read by one task and stays short.
+CSV_OPTIONS = {"header": True, "escape": '"'}
+CSV_FILE_ROWS = 1_000_000
 
 
 class EmptyBatch(ValueError):
@@ -16,20 +22,26 @@ class EmptyBatch(ValueError):
 
 
 def land_batch(items: DataFrame, raw_path: str, batch: str, fmt: str = "parquet") -> dict[str, int]:
-    """Write one flattened batch to ``raw_path/batch=<batch>`` and return its row and order counts.
+    """Write one flattened batch to ``raw_path/batch=<batch>`` and return its row count.
 
-    The directory belongs to the batch, so running a batch again replaces it. Counts come from the write itself; the
-    plan runs once. A batch without rows is an error and leaves nothing behind.
+    The directory belongs to the batch, so running a batch again replaces it. The count comes from the write itself;
+    the plan runs once. Rows go to a hidden directory first and take the batch's place when there are any: a batch
+    without rows is an error and leaves an earlier one alone.
     """
     if fmt not in LANDING_FORMATS:
         raise ValueError(f"landing format must be one of {LANDING_FORMATS}, not {fmt!r}")
-    path = f"{raw_path}/batch={batch}"
+    spark = items.sparkSession
+    path, fresh = f"{raw_path}/batch={batch}", f"{raw_path}/_incoming-{uuid.uuid4().hex}"
     seen = Observation()
     written = items.select(*ORDER_COLUMNS).observe(seen, F.count(F.lit(1)).alias("rows_written"))
-    written.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    if fmt == "csv":
+        written.write.options(**CSV_OPTIONS, maxRecordsPerFile=CSV_FILE_ROWS).csv(fresh)
+    else:
+        written.write.format(fmt).save(fresh)
     if not seen.get["rows_written"]:
-        remove(items.sparkSession, [path])
+        remove(spark, [fresh])
         raise EmptyBatch("the payload holds no product rows")
+    replace(spark, fresh, path)
     return dict(seen.get)
 
 
@@ -40,17 +52,33 @@ def write_processed(clean: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def remove(spark: SparkSession, paths: list[str]) -> list[str]:
+def plain_paths(spark: SparkSession, uris: list[str]) -> list[str]:
+    """File paths as they are, from the encoded form in which Spark names the files of a scan."""
+    jvm = spark._jvm
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString() for uri in uris]
+
+
+def replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Move a written directory to its place; what stood there goes just before."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(fresh), hadoop.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"could not move {fresh} to {path}")
+
+
+def remove(spark: SparkSession, paths: list[str], threads: int = 32) -> list[str]:
     """Delete files or directories on whatever file system they live; returns the paths that could not be deleted."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    failed = []
-    for path in paths:
+
+    def gone(path: str) -> bool:
         try:
             target = hadoop.Path(path)
-            gone = target.getFileSystem(conf).delete(target, True)
+            return target.getFileSystem(conf).delete(target, True)
         except Py4JJavaError:
-            gone = False
-        if not gone:
-            failed.append(path)
-    return failed
+            return False
+
+    with ThreadPoolExecutor(threads) as pool:  # the calls wait for the file system, not for this process
+        return [path for path, done in zip(paths, pool.map(gone, paths), strict=True) if not done]

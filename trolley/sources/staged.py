@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from trolley.operators.clean import type_columns
 from trolley.schema import LANDED_TYPES, ORDER_COLUMNS, TEXT_SCHEMA
+from trolley.sinks.files import CSV_OPTIONS
 
 
 class NoStagedFiles(FileNotFoundError):
@@ -83,8 +84,11 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_staged_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and empty fields as NULL, read as text: 7.0 in an integer column must survive."""
-    reader = spark.read.option("header", True).option("nullValue", "").schema(TEXT_SCHEMA)
+    """CSV with a header and empty fields as NULL, read as text: 7.0 in an integer column must survive.
+
+    Quoted fields may hold doubled quotes and line breaks, so a file is read by one task; landing bounds its rows.
+    """
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=True, nullValue="").schema(TEXT_SCHEMA)
     return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
 
 
