@@ -26,7 +26,7 @@ from trolley.llm.common import doc_id_fold, materialise
 
 HASH_BITS = 18
 DIM = 1 << HASH_BITS
-KNOWN_TOKENS = 300_000  # of the hash cache in a task; emptied when full
+KNOWN_TOKENS = 100_000  # of the hash cache in a task; emptied when full
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
