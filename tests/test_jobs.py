@@ -212,3 +212,17 @@ def test_a_large_order_comes_through_whole(spark, at):
     assert jobs.run(spark, at) == 40_000
     top = spark.table(at.table).agg(F.max("add_to_cart_order"), F.max("order_number")).first()
     assert tuple(top) == (40_000, 70_000)
+
+
+def test_large_orders_are_kept_apart_and_served_together(spark, at):
+    items = feed(spark, {}, {"order_id": "2"}).withColumn(
+        "add_to_cart_order", F.explode(F.sequence(F.lit(1), F.when(F.col("order_id") == "1", 50).otherwise(3)))
+    )
+    clean = jobs.clean_orders(items)
+    serving.create_serving_objects(spark, at.database, at.warehouse, 4)
+    assert serving.append(clean, at.table, hot_rows=10) == 53
+    assert spark.table(at.table).count() == 3
+    assert spark.table(f"{at.database}.orders").count() == jobs.served(spark, at).count() == 53
+    assert serving.append(clean, at.table, idempotent=True, hot_rows=10) == 0
+    assert serving.append(clean, at.table, hot_rows=10) == 53
+    assert jobs.served(spark, at).count() == 106

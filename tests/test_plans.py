@@ -3,9 +3,13 @@
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from trolley.operators.filters import apply_filters, valid_orders
 from trolley.plans import dashboard, retail
 from trolley.plans.registry import QUERIES
+from trolley.sinks.serving import new_rows
+from trolley.sources.tables import read_serving
 
 
 def plan(df):
@@ -74,6 +78,37 @@ def test_order_level_steps_use_the_buckets(fact, name, shuffles):
     assert text.count("Exchange ") == shuffles
 
 
+@pytest.fixture(scope="module")
+def loaded_twice(spark, sf_dir, tmp_path_factory):
+    """The serving table after two loads of different orders."""
+    from trolley.plans import jobs
+    from trolley.schema import LANDED_TYPES
+    from trolley.sinks.files import land_batch
+
+    root = tmp_path_factory.mktemp("twice")
+    at = jobs.Locations("", f"{root}/raw", f"{root}/processed", f"{root}/warehouse", "loaded_twice")
+    items = retail.fact(spark, sf_dir).select(*[F.col(c).cast(t) for c, t in LANDED_TYPES.items()])
+    for part in (0, 1):
+        land_batch(items.where(F.col("order_id") % 2 == part), at.raw, f"b{part}")
+        jobs.run(spark, at, idempotent=True)
+    return read_serving(spark, at.table)
+
+
+@pytest.mark.parametrize(
+    "name", [n for n in dashboard.QUERIES if n.startswith(("q01", "q11", "q13", "q14", "q18", "q22", "q27"))]
+)
+def test_the_served_table_is_bucketed_like_the_fact(fact, loaded_twice, name):
+    query = dashboard.QUERIES[name]
+    assert plan(query(loaded_twice)).count("Exchange ") == plan(query(fact)).count("Exchange ")
+    assert rows(query(loaded_twice)) == rows(query(fact))
+
+
+def test_idempotent_append_reads_only_the_orders_it_may_repeat(loaded_twice):
+    incoming = loaded_twice.where("order_id between 10 and 12 or order_id = 1200")
+    text = plan(new_rows(incoming, loaded_twice))
+    assert "LessThanOrEqual(order_id,12)" in text and "GreaterThanOrEqual(order_id,1200)" in text
+
+
 def test_one_bucket_is_one_file(spark, sf_dir, tmp_path):
     stored = retail.store_fact(spark, sf_dir, f"{tmp_path}/fact-onefile")
     files = [f for f in spark.table(stored.ordinary).inputFiles()]

@@ -6,11 +6,12 @@ from trolley import sizing
 from trolley.workspace import Workspace, workspace
 
 
-def test_partitions_grow_with_input_and_stop():
+def test_partitions_grow_with_input_and_stay_bounded():
     assert sizing.partitions_for(0) == 1
     assert sizing.partitions_for(64 * 2**20) == 1
     assert sizing.partitions_for(10 * 2**30) == 160
-    assert sizing.partitions_for(100 * 2**40) == sizing.MAX_PARTITIONS
+    assert sizing.partitions_for(5 * 2**40) == sizing.MANY_PARTITIONS
+    assert sizing.partitions_for(100 * 2**40) == 400 * 2**10
 
 
 def test_sizing_only_raises(spark, sf_dir):

@@ -1,9 +1,9 @@
 """Joins and ordered windows that stay balanced when one key holds a large share of the rows.
 
-The operators split their input by the keys that have more than ``min_rows`` rows. There are at most
-``rows / min_rows`` such keys whatever the data looks like, which is what makes broadcasting them, or the dimension
-rows that belong to them, safe: at 10^12 rows and the default limit that is 10^6 short rows. Every other key has at
-most ``min_rows`` rows, so the ordinary shuffle plan is balanced for it. No row is dropped on either side.
+The operators split their input by the keys that have more than ``min_rows`` rows, and never more than MOST_HOT_KEYS
+keys are hot, whatever the data looks like. That is what makes broadcasting them, or the dimension rows that belong to
+them, safe: 40 MB if such a row takes 2 kB. Every other key is small against a shuffle partition, so the ordinary
+shuffle plan is balanced for it. No row is dropped on either side.
 """
 
 from __future__ import annotations
@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 from trolley.workspace import Workspace
 
 HOT_KEY_ROWS = 1_000_000
+MOST_HOT_KEYS = 20_000
 
 
 def find_hot_keys(df: DataFrame, key: str, ws: Workspace, min_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
     """Keys with more than ``min_rows`` rows, or None when there are none (the usual case).
 
-    Reads one column and counts with map-side combine, so a hot key costs the shuffle one row per task. A table of
-    at most ``min_rows`` rows cannot hold one; its row count comes from file metadata.
+    The limit rises with the table, so that there are never more than MOST_HOT_KEYS hot keys: from 2 * 10^10 rows on, a
+    key is hot with more than its 20,000th of the rows. Reads one column and counts with map-side combine, so a hot
+    key costs the shuffle one row per task. A table of at most ``min_rows`` rows cannot hold one; its row count comes
+    from file metadata.
     """
-    if df.count() <= min_rows:
+    rows = df.count()
+    min_rows = max(min_rows, rows // MOST_HOT_KEYS)
+    if rows <= min_rows:
         return None
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = ws.materialise(counts.where(F.col(key).isNotNull() & (F.col("_n") > min_rows)).select(key), "hot-keys")

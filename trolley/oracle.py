@@ -376,6 +376,16 @@ def oracle_sql() -> dict[str, str]:
                        WHERE order_id > 0 AND user_id > 0 AND product_id > 0 AND product_name <> ''"""
         ),
         "serving_roundtrip": _on(CLEAN_FACT, select=f"SELECT {COLUMNS} FROM clean_fact"),
+        "serving_view": _on(
+            CLEAN_FACT,
+            select=f"""SELECT {COLUMNS} FROM clean_fact
+                       WHERE order_id > 0 AND user_id > 0 AND product_id > 0 AND product_name <> ''""",
+        ),
+        **{
+            f"serving_{name.removeprefix('dashboard_')}": sql
+            for name, sql in statements.items()
+            if name.startswith(("q01", "q11", "q13", "q14", "q18", "q21", "q22", "q25", "q27", "q28", "dashboard_kpis"))
+        },
         "loaded_row_count": _on(CLEAN_FACT, select="SELECT count(*) AS total_rows FROM clean_fact"),
         "latest_rows": _on(
             select="""

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from trolley.operators.clean import clean_orders
 from trolley.operators.flatten import flatten_orders
 from trolley.sinks.files import land_batch, plain_paths, remove, write_processed
 from trolley.sinks.serving import TABLE, append, create_serving_objects
+from trolley.sizing import input_bytes, partitions_for, size_shuffles
 from trolley.sources.payloads import read_payloads
 from trolley.sources.staged import read_staged_orders
-from trolley.sources.tables import read_processed
+from trolley.sources.tables import read_processed, read_serving
 
 class CleanupFailed(OSError):
     """Rows were loaded, but files they came from are still staged: the next run would load them again."""
@@ -20,13 +21,17 @@ class CleanupFailed(OSError):
 
 @dataclass(frozen=True)
 class Locations:
-    """Where one deployment keeps its data; every path is on a file system all executors reach."""
+    """Where one deployment keeps its data; every path is on a file system all executors reach.
+
+    ``buckets`` of the serving table are fixed when it is created; left out, they fit the first load.
+    """
 
     payloads: str
     raw: str
     processed: str
     warehouse: str
     database: str = "analytics"
+    buckets: int | None = None
 
     @property
     def table(self) -> str:
@@ -51,6 +56,7 @@ class Staged:
 def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None) -> Staged:
     """Clean everything staged and overwrite the processed dataset."""
     staged = read_staged_orders(spark, at.raw)
+    size_shuffles(spark, input_bytes(spark, [at.raw]))
     files = plain_paths(spark, list(staged.inputFiles()))
     return Staged(write_processed(clean_orders(staged, ingested_at), at.processed), files)
 
@@ -58,10 +64,18 @@ def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None)
 def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
     """Append the processed dataset to the serving table; returns the rows added. Empty input adds nothing."""
     processed = read_processed(spark, at.processed)
-    create_serving_objects(spark, at.database, at.warehouse)
+    size = input_bytes(spark, [at.processed])
+    size_shuffles(spark, size)
+    buckets = at.buckets or max(partitions_for(size), spark.sparkContext.defaultParallelism)
+    create_serving_objects(spark, at.database, at.warehouse, buckets)
     return append(processed, at.table, idempotent)
 
 
+def served(spark: SparkSession, at: Locations) -> DataFrame:
+    """Everything loaded so far, for the dashboard queries."""
+    return read_serving(spark, at.table)
+
+
 def cleanup(spark: SparkSession, at: Locations, staged: Staged) -> list[str]:
     """Delete the processed dataset and the files one stage run read; returns what could not be deleted.
 

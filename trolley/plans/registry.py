@@ -145,6 +145,21 @@ def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_serving(spark, _loaded_table(spark, sf_dir)).select(*ORDER_COLUMNS)
 
 
+def serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog view over the loaded table."""
+    return spark.table(_loaded_table(spark, sf_dir).replace("orders_raw", "orders")).select(*ORDER_COLUMNS)
+
+
+def _over_serving(query: dashboard.Query) -> Registered:
+    return lambda spark, sf_dir: query(read_serving(spark, _loaded_table(spark, sf_dir)))
+
+
+# Dashboard queries of every shape, over the table that the pipeline itself writes.
+SERVED = ("q01", "q11", "q13", "q14", "q18", "q21", "q22", "q25", "q27", "q28")
+SERVING = {f"serving_{name}": query for name, query in dashboard.QUERIES.items() if name.startswith(SERVED)}
+SERVING["serving_kpis"] = dashboard.kpis
+
+
 def loaded_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(read_serving(spark, _loaded_table(spark, sf_dir)))
 
@@ -169,6 +184,8 @@ QUERIES: dict[str, Registered] = {
     "reject_report": rejects,
     "valid_orders_view": valid_orders_view,
     "serving_roundtrip": serving_roundtrip,
+    "serving_view": serving_view,
+    **{name: _over_serving(query) for name, query in SERVING.items()},
     "loaded_row_count": loaded_row_count,
     "latest_rows": latest,
     "idempotent_append": idempotent_append,

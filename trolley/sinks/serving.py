@@ -7,21 +7,31 @@ from pyspark.sql import functions as F
 
 from trolley.operators.clean import deduplicate, format_for_sink
 from trolley.operators.filters import VALID_ORDER
+from trolley.operators.ranges import in_ranges, occupied_ranges
+from trolley.operators.skew import HOT_KEY_ROWS, find_hot_keys, split_by_hot
 from trolley.schema import CLEAN_TYPES, CLUSTER_KEYS, DEDUP_KEYS, OUTPUT_COLUMNS
+from trolley.sources.tables import LARGE, read_serving
+from trolley.workspace import workspace
 
 TABLE = "orders_raw"
 VIEW = "orders"
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 JDBC_BATCH_ROWS = 10_000
 
 
-def create_serving_objects(spark: SparkSession, database: str, location: str) -> None:
-    """Database, fact table and validity view, each only when missing."""
+def create_serving_objects(spark: SparkSession, database: str, location: str, buckets: int = 8) -> None:
+    """Database, fact table and validity view, each only when missing.
+
+    The table is bucketed by order, so that steps that group by order need no shuffle of it. The number of buckets is
+    fixed with the table: choose it for the size the table will have.
+    """
     columns = ", ".join(f"{name} {ddl}" for name, ddl in CLEAN_TYPES.items())
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.{TABLE} "
         f"({columns}, ingested_at timestamp DEFAULT current_timestamp()) "
-        f"USING parquet LOCATION '{location}/{TABLE}'"
+        f"USING parquet LOCATION '{location}/{TABLE}' "
+        f"CLUSTERED BY (order_id) SORTED BY ({', '.join(CLUSTER_KEYS)}) INTO {buckets} BUCKETS"
     )
     shown = ", ".join(OUTPUT_COLUMNS)
     spark.sql(
@@ -38,27 +48,72 @@ def clustered(df: DataFrame) -> DataFrame:
     return df.repartitionByRange(*DEDUP_KEYS).sortWithinPartitions(*CLUSTER_KEYS)
 
 
-def append(df: DataFrame, table: str, idempotent: bool = False) -> int:
+def bucket_count(spark: SparkSession, table: str) -> int:
+    """Buckets of a table, from its catalog entry."""
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+    return int(described["data_type"])
+
+
+def append(df: DataFrame, table: str, idempotent: bool = False, hot_rows: int = HOT_KEY_ROWS) -> int:
     """Append to the serving table and return the rows added.
 
-    With ``idempotent`` only keys the table does not hold yet go in, so running a load again adds nothing.
+    Shuffle and buckets are the same hash, so each load adds one file to each bucket. Orders of more than ``hot_rows``
+    rows would make one bucket too large: they go to a second table without buckets, made when first needed, which
+    ``read_serving`` and the view then include. With ``idempotent`` only keys the table does not hold yet go in, so
+    running a load again adds nothing.
     """
+    spark = df.sparkSession
     rows = df.withColumn("ingested_at", F.coalesce("ingested_at", F.current_timestamp())).select(*OUTPUT_COLUMNS)
-    if idempotent:
-        rows = new_rows(rows, df.sparkSession.table(table))
+    hot = find_hot_keys(rows, "order_id", workspace(spark), hot_rows)
+    rows, large = (rows, None) if hot is None else split_by_hot(rows, "order_id", hot)
+    in_buckets = rows.repartition(bucket_count(spark, table), "order_id")
+    before = spark.conf.get(CO_PARTITION)
+    spark.conf.set(CO_PARTITION, False)  # a join on the whole key keeps the layout by order
+    try:
+        if idempotent:
+            existing = read_serving(spark, table)
+            in_buckets = new_rows(in_buckets, existing)
+            large = large and new_rows(large, existing)
+        added = _counted_insert(in_buckets.sortWithinPartitions(*CLUSTER_KEYS), table)
+    finally:
+        spark.conf.set(CO_PARTITION, before)
+    if large is not None:
+        _create_large(spark, table)
+        added += _counted_insert(clustered(large), table.replace(TABLE, LARGE))
+    return added
+
+
+def _counted_insert(rows: DataFrame, table: str) -> int:
     seen = Observation()
-    counted = clustered(rows).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.insertInto(table)
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     return seen.get["rows"]
 
 
+def _create_large(spark: SparkSession, table: str) -> None:
+    """The table of large orders, next to the other, and a view over both."""
+    large, database = table.replace(TABLE, LARGE), table.rpartition(".")[0]
+    if spark.catalog.tableExists(large):
+        return
+    location = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    columns = ", ".join(f"{name} {ddl}" for name, ddl in CLEAN_TYPES.items())
+    spark.sql(
+        f"CREATE TABLE {large} ({columns}, ingested_at timestamp) USING parquet "
+        f"LOCATION '{location.removesuffix(TABLE)}{LARGE}'"
+    )
+    shown = ", ".join(OUTPUT_COLUMNS)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {database}.{VIEW} AS SELECT {shown} FROM {table} WHERE {VALID_ORDER} "
+        f"UNION ALL SELECT {shown} FROM {large} WHERE {VALID_ORDER}"
+    )
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Incoming rows, one per key, whose key is not in ``existing``.
 
-    Both sides are reduced to distinct keys by a map-side aggregate before they meet, so repeated copies of one key
-    do not gather in one task. The kept keys are never null (cleaning rejects those).
+    Of ``existing`` only the order ranges that ``incoming`` occupies are read; where orders arrive roughly in sequence
+    file statistics skip the rest of the history. The kept keys are never null (cleaning rejects those).
     """
-    seen = existing.select(*DEDUP_KEYS).distinct()
+    seen = existing.where(in_ranges("order_id", occupied_ranges(incoming, "order_id"))).select(*DEDUP_KEYS)
     return deduplicate(incoming, DEDUP_KEYS).join(seen, DEDUP_KEYS, "left_anti").select(*incoming.columns)
 
 

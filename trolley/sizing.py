@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 PARTITION_BYTES = 256 * 1024 * 1024
-# Beyond this the bookkeeping of map tasks x partitions costs more than letting larger partitions spill.
-MAX_PARTITIONS = 50_000
+# Beyond this many, partitions grow to MOST_BYTES first: the bookkeeping of map tasks x partitions costs more than a
+# partition that spills. They never grow beyond it.
+MANY_PARTITIONS = 50_000
+MOST_BYTES = 1024 * 1024 * 1024
 # Compressed columnar input against rows in a shuffle.
 EXPANSION = 4
 
@@ -25,7 +27,8 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def partitions_for(size: int) -> int:
-    return min(max(1, ceil(size * EXPANSION / PARTITION_BYTES)), MAX_PARTITIONS)
+    expanded = size * EXPANSION
+    return max(1, min(ceil(expanded / PARTITION_BYTES), max(MANY_PARTITIONS, ceil(expanded / MOST_BYTES))))
 
 
 def size_shuffles(spark: SparkSession, size: int) -> int:

@@ -16,7 +16,18 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLEAN_SCHEMA).parquet(path).select(*OUTPUT_COLUMNS)
 
 
+LARGE = "orders_large"
+
+
 def read_serving(spark: SparkSession, table: str) -> DataFrame:
-    """The serving table or view by catalog name."""
-    return spark.table(table)
+    """The serving table or view by catalog name, with the orders too large for a bucket, if any.
+
+    Without such orders the plan sees a bucketed table; with them it is a union, which falls back to shuffles.
+    """
+    rows = spark.table(table)
+    database, _, name = table.rpartition(".")
+    large = f"{database}.{LARGE}"
+    if name != "orders_raw" or not spark.catalog.tableExists(large):
+        return rows
+    return rows.unionByName(spark.table(large))
 
