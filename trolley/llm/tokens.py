@@ -13,6 +13,8 @@ A document's ids are made once and written down; after that counting, ordering a
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 from math import ceil
 from zlib import crc32
@@ -36,27 +38,66 @@ BLOCK_SCHEMA = (
 )
 
 
+# Lower-case words of Latin letters: no normalising or splitting is left to do, the vocabulary's model takes them whole.
+LETTERS = re.compile("[a-zß-öø-ɏ]+")
+PROBES = ["the", "tokenization", "straße", "ñandú", "zażółć", "ęxqz"]
+# Marks that end a word, after a letter or digit: the tokenizer always parts the two, so "word." is "word" and ".".
+MARKS = re.compile(rb"[.,!?;:#$%&*](?<=[a-z0-9].)[.,!?;:#$%&*]*(?=\s|\Z)")
+
+
+def split_words(text: str | None) -> list[bytes]:
+    """Words between ASCII white space, lower-cased (A-Z, which the tokenizer does anyway), marks after them apart."""
+    return MARKS.sub(rb" \g<0>", text.encode("utf-8", "surrogatepass").lower()).split() if text else []
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others, in
+    order, from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
+
+
 class WordIds:
-    """Ids of words between ASCII white space, as packed bytes. The tokenizer drops white space and no token spans it,
-    so a text's ids are its words' ids in order. Words not met before are encoded together, batch by batch."""
+    """Ids of words as packed bytes. The tokenizer drops white space and no token spans it, so a text's ids are its words'
+    ids in order. Words not met before go through the whole tokenizer together; plain ones only through its model, if
+    that gives the same for PROBES."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.known: dict[bytes, bytes] = {}
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.direct = [self._direct(w) for w in PROBES] == self._encode(PROBES)
 
     def learn(self, texts: list[list[bytes]]) -> None:
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = list(set().union(*texts) - self.known.keys())
-        coded = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False
-        )
-        for word, encoding in zip(new, coded, strict=True):
-            self.known[word] = np.array(encoding.ids, self.kind).tobytes()
+        others = []
+        for word in set().union(*texts) - self.known.keys():
+            text = word.decode("utf-8", "surrogatepass")
+            if self.direct and LETTERS.fullmatch(text) and text == text.lower():
+                self.known[word] = self._direct(text)
+            else:
+                others.append((word, text))
+        for (word, _), ids in zip(others, self._encode([text for _, text in others]), strict=True):
+            self.known[word] = ids
+
+    def _direct(self, word: str) -> bytes:
+        if not word.isascii():
+            word = "".join(map(self.letters.__getitem__, word.encode()))
+        return self._packed([token.id for token in self.model.tokenize(word)])
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [self._packed(encoding.ids) for encoding in coded]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.known.__getitem__, words)) + np.array([END], self.kind).tobytes()
+        return b"".join(map(self.known.__getitem__, words)) + self._packed([END])
 
 
 def tokenize(documents: DataFrame, path: str) -> DataFrame:
@@ -70,7 +111,7 @@ def tokenize(documents: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for k in range(0, len(batch), 512):  # bounds the words held at once
                 part = batch.iloc[k : k + 512]
-                texts = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in part["text"]]
+                texts = [split_words(t) for t in part["text"]]
                 words.learn(texts)
                 ids = [words.ids(t) for t in texts]
                 size = [len(i) // words.kind.itemsize for i in ids]
