@@ -8,6 +8,7 @@ from test_clean import feed
 
 from trolley.operators.clean import clean_orders
 from trolley.schema import ORDER_COLUMNS, TEXT_SCHEMA
+from trolley.sinks.files import CSV_OPTIONS
 from trolley.streaming.landing import (
     dedup_stream,
     ingest_stream,
@@ -28,23 +29,23 @@ def _orders(spark, out):
 def test_each_run_takes_only_new_files(spark, tmp_path):
     raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
     _land(spark, raw, "a", 1, 2)
-    ingest_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    ingest_stream(read_landing_stream(spark, raw), out)
     assert _orders(spark, out) == [1, 2]
     files = set(Path(out).rglob("*.parquet"))
-    ingest_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    ingest_stream(read_landing_stream(spark, raw), out)
     assert set(Path(out).rglob("*.parquet")) == files
     _land(spark, raw, "b", 2, 3)
-    ingest_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    ingest_stream(read_landing_stream(spark, raw), out)
     assert _orders(spark, out) == [1, 2, 2, 3]
 
 
 def test_dedup_across_batches(spark, tmp_path):
     raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
     _land(spark, raw, "a", 1, 2, 3, 4)
-    dedup_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    dedup_stream(read_landing_stream(spark, raw), out)
     assert _orders(spark, out) == [1, 2, 3, 4]
     _land(spark, raw, "b", 1, 2, 3, 4, 4, 5)
-    dedup_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    dedup_stream(read_landing_stream(spark, raw), out)
     assert _orders(spark, out) == [1, 2, 3, 4, 5]
 
 
@@ -54,7 +55,7 @@ def test_dedup_within_one_run_of_many_micro_batches(spark, tmp_path, fact):
     raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
     feed_rows = retail.dirty_feed(fact)
     feed_rows.repartition(4).write.parquet(f"{raw}/batch=a")
-    dedup_stream(read_landing_stream(spark, raw, TEXT_SCHEMA, max_files=1), out)
+    dedup_stream(read_landing_stream(spark, raw, max_files=1), out)
     assert len(list(Path(out).glob("batch_id=*"))) == 4
     expected = clean_orders(feed_rows).select(*ORDER_COLUMNS)
     assert rows(read_stream_output(spark, out).select(*ORDER_COLUMNS)) == rows(expected)
@@ -63,13 +64,13 @@ def test_dedup_within_one_run_of_many_micro_batches(spark, tmp_path, fact):
 def test_replayed_micro_batch_lands_once(spark, tmp_path):
     raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
     _land(spark, raw, "a", 1, 2)
-    dedup_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    dedup_stream(read_landing_stream(spark, raw), out)
     _land(spark, raw, "b", 2, 3)
-    dedup_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    dedup_stream(read_landing_stream(spark, raw), out)
     # A failure after the write but before the commit leaves the second micro-batch to be run again.
     for name in ("1", ".1.crc"):
         (Path(out) / "_progress" / "commits" / name).unlink()
-    dedup_stream(read_landing_stream(spark, raw, TEXT_SCHEMA), out)
+    dedup_stream(read_landing_stream(spark, raw), out)
     assert _orders(spark, out) == [1, 2, 3]
 
 
@@ -79,7 +80,7 @@ def test_consumed_files_are_archived(spark, tmp_path):
     try:
         for name in "abc":
             _land(spark, raw, name, ord(name))
-            ingest_stream(read_landing_stream(spark, raw, TEXT_SCHEMA, archive=archive), out)
+            ingest_stream(read_landing_stream(spark, raw, archive=archive), out)
     finally:
         spark.conf.unset("spark.sql.streaming.fileSource.cleaner.numThreads")
     assert _orders(spark, out) == [97, 98, 99]
@@ -92,8 +93,24 @@ def test_state_store_dedup(spark, tmp_path):
     raw = f"{tmp_path}/raw"
     _land(spark, raw, "a", 1, 2, 2)
     _land(spark, raw, "b", 2, 3)
-    stream = stateful_dedup(read_landing_stream(spark, raw, TEXT_SCHEMA, max_files=1))
+    rows_of = spark.readStream.schema(TEXT_SCHEMA).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1)
+    stream = stateful_dedup(rows_of.parquet(raw))
     writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
     writer.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
     result = spark.read.parquet(f"{tmp_path}/out").select(F.col("order_id"))
     assert rows(result) == [("1",), ("2",), ("3",)]
+
+
+def test_formats_and_types_may_mix(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw dir", f"{tmp_path}/out"
+    days = "days_since_prior_order"
+    items = feed(spark, {"order_id": "1"})
+    items.withColumn(days, F.lit(7).cast("bigint")).write.parquet(f"{raw}/batch=a")
+    items.withColumns({"order_id": F.lit("2"), days: F.lit(8.0)}).write.parquet(f"{raw}/batch=b")
+    dedup_stream(read_landing_stream(spark, raw), out)
+    text = feed(spark, {"order_id": "3", "product_name": 'two\nlines of "2%", x'}, {"order_id": "1"})
+    text.write.options(**CSV_OPTIONS).csv(f"{raw}/batch=c")
+    dedup_stream(read_landing_stream(spark, raw), out)
+    found = {r.order_id: (r[days], r.product_name) for r in read_stream_output(spark, out).collect()}
+    assert found == {1: (7, "milk"), 2: (8, "milk"), 3: (7, 'two\nlines of "2%", x')}
+    assert read_stream_output(spark, out).count() == 3

@@ -116,7 +116,6 @@ _REST = ", ".join(
 )
 
 TYPED = f"typed AS ({_typed('dirty')})"
-TYPED_ONCE = f"typed_once AS ({_typed('dirty_once')})"
 CLEAN = f"""
 clean AS (
   SELECT {COLUMNS} FROM (
@@ -348,7 +347,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_dropna": _on(DIRTY, TYPED, select=f"SELECT * FROM typed WHERE {_KEYS_PRESENT}"),
         "clean_orders": _on(DIRTY, TYPED, CLEAN, select="SELECT * FROM clean"),
         "stream_dedup": _on(DIRTY, TYPED, CLEAN, select="SELECT * FROM clean"),
-        "stream_ingest": _on(DIRTY, TYPED_ONCE, select=f"SELECT * FROM typed_once WHERE {_KEYS_PRESENT}"),
+        "stream_ingest": _on(CLEAN_FACT, select=_ODD_NAMES),
         "reject_report": _on(
             DIRTY,
             TYPED,

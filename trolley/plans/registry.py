@@ -13,7 +13,7 @@ from trolley.operators.flatten import flatten_orders, payload_metrics
 from trolley.operators.quality import consistency_check, latest_rows, row_count, table_profile
 from trolley.plans import dashboard, jobs, retail
 from trolley.plans.mart import order_mart
-from trolley.schema import INGESTED_AT_FORMAT, ORDER_COLUMNS, TEXT_SCHEMA
+from trolley.schema import INGESTED_AT_FORMAT, ORDER_COLUMNS
 from trolley.sinks.serving import new_rows
 from trolley.sources.payloads import read_payloads
 from trolley.sources.staged import read_staged_orders
@@ -107,11 +107,13 @@ def consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staged feed arrives as files; one available-now run cleans them batch by batch."""
+    """Files of two column types arrive, then text; an available-now run after each cleans what is new."""
     ws = workspace(spark)
     landing, out = ws.fresh("landing"), ws.fresh("stream")
-    retail.dirty_feed(retail.fact(spark, sf_dir), copies=False).write.parquet(landing)
-    ingest_stream(read_landing_stream(spark, landing, TEXT_SCHEMA), out, _load_time())
+    for arriving in (retail.MIXED_BATCHES[:2], retail.MIXED_BATCHES[2:]):
+        for batch in arriving:
+            retail.land_mixed(spark, sf_dir, landing, batch)
+        ingest_stream(read_landing_stream(spark, landing), out, _load_time())
     return read_stream_output(spark, out).select(*ORDER_COLUMNS)
 
 
@@ -122,7 +124,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch, copies in enumerate((False, True)):
         feed = retail.dirty_feed(retail.fact(spark, sf_dir), copies=copies)
         feed.write.parquet(f"{landing}/batch={batch}")
-        dedup_stream(read_landing_stream(spark, landing, TEXT_SCHEMA), out, _load_time())
+        dedup_stream(read_landing_stream(spark, landing), out, _load_time())
     return read_stream_output(spark, out).select(*ORDER_COLUMNS)
 
 

@@ -258,18 +258,29 @@ def mixed_landing_path(spark: SparkSession, sf_dir: str) -> str:
     """The fact landed in three ways: Parquet with integer days, Parquet with double days, CSV text with odd names."""
 
     def write(path: str) -> str:
-        items = fact(spark, sf_dir).select(*[F.col(c).cast(t) for c, t in LANDED_TYPES.items()])
-        early = items.where("order_hour_of_day < 8")
+        for batch in MIXED_BATCHES:
+            land_mixed(spark, sf_dir, path, batch)
+        return path
+
+    return workspace(spark).once("mixed-landing", sf_dir, write)
+
+
+MIXED_BATCHES = ("integers", "doubles", "text")
+
+
+def land_mixed(spark: SparkSession, sf_dir: str, path: str, batch: str) -> None:
+    """One of the three batches: early, midday or late orders."""
+    items = fact(spark, sf_dir).select(*[F.col(c).cast(t) for c, t in LANDED_TYPES.items()])
+    days = "days_since_prior_order"
+    if batch == "integers":
+        items.where("order_hour_of_day < 8").write.parquet(f"{path}/batch=integers")
+    elif batch == "doubles":
         midday = items.where("order_hour_of_day >= 8 AND order_hour_of_day < 16")
-        late = items.where("order_hour_of_day >= 16")
-        days = "days_since_prior_order"
-        early.write.parquet(f"{path}/batch=integers")
         midday.withColumn(days, F.col(days).cast("double")).write.parquet(f"{path}/batch=doubles")
+    else:
         # Names with quotes, separators, backslashes and line breaks must come through CSV as they are.
         name = F.concat("product_name", F.when(F.col("order_id") % 50 == 0, F.lit(' "2%", 1l\\x\nnew')).otherwise(""))
+        late = items.where("order_hour_of_day >= 16")
         late = late.withColumns({days: F.col(days).cast("double"), "product_name": name})
         late.write.options(**CSV_OPTIONS).csv(f"{path}/batch=text")
-        return path
-
-    return workspace(spark).once("mixed-landing", sf_dir, write)
 

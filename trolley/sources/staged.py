@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -24,18 +25,25 @@ class NoStagedFiles(FileNotFoundError):
     """The landing directory holds no Parquet and no CSV file."""
 
 
-def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+Paths = str | list[str]  # a directory, or files
+
+
+def _listed(path: Paths) -> list[str]:
+    return [path] if isinstance(path, str) else path
+
+
+def list_files(spark: SparkSession, path: Paths, pattern: str) -> DataFrame:
     """``path`` column of the files below a directory, on any file system; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .load(path)
+        .load(_listed(path))
     )
     return files.select("path")
 
 
-def has_files(spark: SparkSession, path: str, pattern: str) -> bool:
+def has_files(spark: SparkSession, path: Paths, pattern: str) -> bool:
     try:
         return not list_files(spark, path, pattern).isEmpty()
     except AnalysisException as e:
@@ -44,7 +52,7 @@ def has_files(spark: SparkSession, path: str, pattern: str) -> bool:
         raise
 
 
-def _files_by_types(spark: SparkSession, path: str) -> list[list[str]]:
+def _files_by_types(spark: SparkSession, path: Paths) -> list[list[str]]:
     """Parquet files grouped by the column types in their footers, which tasks read without touching any rows."""
 
     # Nested so that it is shipped by value: executors need not have this package installed.
@@ -53,8 +61,13 @@ def _files_by_types(spark: SparkSession, path: str) -> list[list[str]]:
             paths = batch.column("path").to_pylist()
             types = []
             for file in paths:
-                uri = re.sub("^file:/+", "file:///", file).replace("s3a://", "s3://", 1)
-                fs, inner = pafs.FileSystem.from_uri(uri)
+                scheme, _, inner = file.partition(":")
+                inner = quote(re.sub("^/+", "///", inner) if scheme == "file" else inner)
+                uri = f"{'s3' if scheme == 's3a' else scheme}:{inner}"
+                try:
+                    fs, inner = pafs.FileSystem.from_uri(uri)
+                except pa.ArrowInvalid as e:
+                    raise ValueError(f"column types differ between files, and footers cannot be read by {scheme}:") from e
                 footer = pq.read_schema(inner, filesystem=fs)
                 types.append(";".join(sorted(f"{column.name}:{column.type}" for column in footer)))
             yield pa.RecordBatch.from_pydict({"path": paths, "types": types})
@@ -66,7 +79,7 @@ def _files_by_types(spark: SparkSession, path: str) -> list[list[str]]:
     return list(files.values())
 
 
-def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
+def read_staged_parquet(spark: SparkSession, path: Paths) -> DataFrame:
     """Parquet batches whose footers need not agree.
 
     A writer that lets nulls turn integers into doubles leaves files no single scan can read. Spark first compares
@@ -75,7 +88,7 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     try:
-        scans = [reader.option("mergeSchema", True).parquet(path)]
+        scans = [reader.option("mergeSchema", True).parquet(*_listed(path))]
     except (Py4JJavaError, PySparkException) as e:
         if "CANNOT_MERGE_SCHEMAS" not in str(e):
             raise
@@ -83,17 +96,17 @@ def read_staged_parquet(spark: SparkSession, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [type_columns(scan, LANDED_TYPES) for scan in scans])
 
 
-def read_staged_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_staged_csv(spark: SparkSession, path: Paths) -> DataFrame:
     """CSV with a header and empty fields as NULL, read as text: 7.0 in an integer column must survive.
 
     Quoted fields may hold doubled quotes and line breaks, so a file is read by one task; landing bounds its rows.
     """
     reader = spark.read.options(**CSV_OPTIONS, multiLine=True, nullValue="").schema(TEXT_SCHEMA)
-    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
+    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(_listed(path))
 
 
-def read_staged_orders(spark: SparkSession, path: str) -> DataFrame:
-    """All staged rows. No staged file is an error, not an empty result.
+def read_staged_orders(spark: SparkSession, path: Paths) -> DataFrame:
+    """All staged rows below a directory or in the given files. No staged file is an error, not an empty result.
 
     With both formats present the Parquet side is rendered as text, so that no CSV value is lost before cleaning.
     """

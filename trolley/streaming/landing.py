@@ -14,32 +14,42 @@ from pyspark.sql import functions as F
 from trolley.operators.clean import clean_orders, deduplicate, drop_null_keys, stamp, type_columns
 from trolley.schema import CLEAN_SCHEMA, DEDUP_KEYS, OUTPUT_COLUMNS
 from trolley.sinks.serving import new_rows
+from trolley.sources.staged import read_staged_orders
+
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_landing_stream(
     spark: SparkSession,
     path: str,
-    schema: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
-    """New Parquet files below ``path``.
+    """Names of new Parquet and CSV files below ``path``: column ``path``. Contents are read by the batch reader, so
+    a stream takes whatever mix of formats and column types a batch takes.
 
     ``max_files`` or ``max_bytes`` bounds one micro-batch, so a large backlog is worked off in steps that each
     commit. ``archive`` moves files there once they have been consumed.
     """
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", "*.{parquet,csv}")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.parquet(path)
+    return reader.load(path).select("path")
+
 
+def _run(stream: DataFrame, out: str, handle: Callable[[DataFrame, int], None]) -> None:
+    def each(files: DataFrame, batch_id: int) -> None:
+        # Names only, at most max_files of them. An empty micro-batch has none.
+        if paths := [row.path for row in files.collect()]:
+            handle(read_staged_orders(files.sparkSession, paths), batch_id)
 
-def _run(stream: DataFrame, out: str, each: Callable[[DataFrame, int], None]) -> None:
     # The progress log lives inside the output it describes, so the two cannot be mixed up between runs.
     query = stream.writeStream.option("checkpointLocation", f"{out}/_progress").trigger(availableNow=True)
     query.foreachBatch(each).start().awaitTermination()
@@ -48,10 +58,10 @@ def _run(stream: DataFrame, out: str, each: Callable[[DataFrame, int], None]) ->
 def ingest_stream(stream: DataFrame, out: str, ingested_at: Column | None = None) -> None:
     """Clean each micro-batch and append it. Repeats across micro-batches are kept, as in the batch append."""
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         clean_orders(batch, ingested_at).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    _run(stream, out, each)
+    _run(stream, out, handle)
 
 
 def dedup_stream(stream: DataFrame, out: str, ingested_at: Column | None = None) -> None:
@@ -63,7 +73,7 @@ def dedup_stream(stream: DataFrame, out: str, ingested_at: Column | None = None)
     the deduplication needs anyway.
     """
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         typed = type_columns(batch)
         rows = stamp(drop_null_keys(typed), ingested_at)
         if batch_id == 0:
@@ -73,7 +83,7 @@ def dedup_stream(stream: DataFrame, out: str, ingested_at: Column | None = None)
         sorted_rows = rows.sortWithinPartitions(*DEDUP_KEYS)
         sorted_rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    _run(stream, out, each)
+    _run(stream, out, handle)
 
 
 def _written(spark: SparkSession, out: str) -> DataFrame:
