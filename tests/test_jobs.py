@@ -1,6 +1,7 @@
 """Landing, staging, loading and the serving objects, end to end on files."""
 
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -29,7 +30,13 @@ def at(tmp_path):
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_end_to_end(spark, at, fmt):
-    assert jobs.ingest(spark, at, "b1", fmt) == {"rows_written": 6}
+    counts = jobs.ingest(spark, at, "b1", fmt)
+    documents = [json.loads(line) for line in Path(at.payloads, "p.json").read_text().splitlines()]
+    assert counts == {
+        "rows_written": 6,
+        "orders": sum(len(d["orders"]) for d in documents),
+        "declared_orders": sum(d["total_orders"] for d in documents),
+    }
     assert jobs.run(spark, at) == 6
     table = spark.table(at.table)
     assert table.count() == 6 and table.where("ingested_at IS NULL").count() == 0

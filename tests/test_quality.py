@@ -18,7 +18,7 @@ def test_profile_flags_range_violations(spark):
 
 def test_profile_of_an_empty_table(spark):
     row = table_profile(make(spark, [{}]).limit(0), ["order_dow"]).first()
-    assert tuple(row) == ("order_dow", 0, 0, 0, None, None, 0)
+    assert tuple(row) == ("order_dow", "bigint", 0, 0, 0, 0, None, None, 0)
 
 
 def test_consistency(spark):

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.schema import CLUSTER_KEYS, DEDUP_KEYS, ORDER_COLUMNS, ORDER_FIELDS, VALUE_RANGES
+from trolley.schema import CLUSTER_KEYS, DEDUP_KEYS, NULLABLE_COLUMN, ORDER_FIELDS, OUTPUT_COLUMNS, VALUE_RANGES
 
 
 def _profile_column(df: DataFrame, name: str) -> DataFrame:
@@ -15,8 +15,12 @@ def _profile_column(df: DataFrame, name: str) -> DataFrame:
     outside = F.lit(False) if low is None else F.coalesce(~value.between(low, high), F.lit(False))
     return values.agg(
         F.lit(name).alias("column_name"),
+        F.lit(df.schema[name].dataType.simpleString()).alias("data_type"),
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.when(value.isNull(), rows)), F.lit(0)).alias("null_count"),
+        F.coalesce(F.sum(F.when(value.isNull() & F.lit(name != NULLABLE_COLUMN), rows)), F.lit(0)).alias(
+            "null_violations"
+        ),
         F.count(value).alias("distinct_count"),
         F.min(value).cast("string").alias("min_value"),
         F.max(value).cast("string").alias("max_value"),
@@ -24,13 +28,15 @@ def _profile_column(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def table_profile(df: DataFrame, columns: list[str] = ORDER_COLUMNS) -> DataFrame:
-    """One row per column: rows, nulls, distinct values, extremes and range violations, all exact.
+def table_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per column: type, rows, nulls, nulls where none may be, distinct values, extremes and range violations,
+    all exact.
 
     Each column is its own single-column scan. One aggregate over all of them would multiply every row by the
     number of distinct counts before the shuffle; this way each row is read once per column and low-cardinality
     columns collapse inside the map tasks.
     """
+    columns = columns or [c for c in OUTPUT_COLUMNS if c in df.columns]
     return reduce(DataFrame.unionByName, [_profile_column(df, c) for c in columns])
 
 

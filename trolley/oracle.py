@@ -308,17 +308,25 @@ def _dashboard() -> dict[str, str]:
     }
 
 
+_SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "TINYINT": "tinyint", "VARCHAR": "string", "TIMESTAMP": "timestamp"
+}
+_LOAD_TIME = "'2024-01-01 00:00:00' AS ingested_at"
+
+
 def _profile(column: str) -> str:
     ranges = {"order_dow": (0, 6), "order_hour_of_day": (0, 23), "reordered": (0, 1)}
     low, high = ranges.get(column, (None, None))
     outside = "0" if low is None else f"count(*) FILTER (WHERE {column} NOT BETWEEN {low} AND {high})"
     return f"""
         SELECT '{column}' AS column_name, count(*) AS row_count,
+               '{_SPARK_TYPES[_TYPES.get(column, "TIMESTAMP")]}' AS data_type,
                count(*) FILTER (WHERE {column} IS NULL) AS null_count,
+               count(*) FILTER (WHERE {column} IS NULL AND '{column}' <> 'days_since_prior_order') AS null_violations,
                count(DISTINCT {column}) AS distinct_count,
                CAST(min({column}) AS VARCHAR) AS min_value, CAST(max({column}) AS VARCHAR) AS max_value,
                CAST({outside} AS BIGINT) AS out_of_range
-        FROM fact"""
+        FROM loaded"""
 
 
 # The CSV batch of the mixed landing has odd product names.
@@ -374,7 +382,8 @@ def oracle_sql() -> dict[str, str]:
             select=f"""SELECT {COLUMNS} FROM fact
                        WHERE order_id > 0 AND user_id > 0 AND product_id > 0 AND product_name <> ''"""
         ),
-        "serving_roundtrip": _on(CLEAN_FACT, select=f"SELECT {COLUMNS} FROM clean_fact"),
+        "serving_roundtrip": _on(CLEAN_FACT, select=f"SELECT {COLUMNS}, {_LOAD_TIME} FROM clean_fact"),
+        "sink_format": _on(DIRTY, TYPED, CLEAN, select=f"SELECT {COLUMNS}, {_LOAD_TIME} FROM clean"),
         "serving_view": _on(
             CLEAN_FACT,
             select=f"""SELECT {COLUMNS} FROM clean_fact
@@ -394,7 +403,11 @@ def oracle_sql() -> dict[str, str]:
               FROM fact
               ORDER BY ingested_at DESC, order_id, product_id, add_to_cart_order LIMIT 10)"""
         ),
-        "table_profile": _on(select=" UNION ALL ".join(_profile(c) for c in _TYPES)),
+        "table_profile": _on(
+            CLEAN_FACT,
+            f"loaded AS (SELECT {COLUMNS}, {_LOAD_TIME} FROM clean_fact)",
+            select=" UNION ALL ".join(_profile(c) for c in [*_TYPES, "ingested_at"]),
+        ),
         "consistency_check": _on(
             select="""
             SELECT 'duplicate_keys' AS check_name, count(*) AS violations FROM (

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from trolley.operators.clean import clean_orders
 from trolley.operators.flatten import flatten_orders
@@ -41,8 +42,19 @@ class Locations:
 def ingest(
     spark: SparkSession, at: Locations, batch: str, fmt: str = "parquet", multi_line: bool = False
 ) -> dict[str, int]:
-    """Flatten the payloads into one landing batch; returns the observed counts."""
-    return land_batch(flatten_orders(read_payloads(spark, at.payloads, multi_line)), at.raw, batch, fmt)
+    """Flatten the payloads into one landing batch.
+
+    Returns what the write itself saw: ``rows_written``, the order documents read (``orders``) and the orders the
+    payloads declare (``declared_orders``).
+    """
+    size_shuffles(spark, input_bytes(spark, [at.payloads]))
+    seen = Observation()
+    payloads = read_payloads(spark, at.payloads, multi_line).observe(
+        seen,
+        F.coalesce(F.sum(F.greatest(F.size("orders"), F.lit(0))), F.lit(0)).alias("orders"),
+        F.coalesce(F.sum("total_orders"), F.lit(0)).alias("declared_orders"),
+    )
+    return land_batch(flatten_orders(payloads), at.raw, batch, fmt) | seen.get
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators.clean import clean_orders, deduplicate, drop_null_keys, reject_report, type_columns
+from trolley.operators.clean import (
+    clean_orders,
+    deduplicate,
+    drop_null_keys,
+    format_for_sink,
+    reject_report,
+    type_columns,
+)
 from trolley.operators.filters import apply_filters, valid_orders
 from trolley.operators.flatten import flatten_orders, payload_metrics
 from trolley.operators.quality import consistency_check, latest_rows, row_count, table_profile
@@ -99,7 +106,7 @@ def order_grain_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_profile(retail.fact(spark, sf_dir))
+    return table_profile(read_serving(spark, _loaded_table(spark, sf_dir)))
 
 
 def consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +151,14 @@ def _loaded_table(spark: SparkSession, sf_dir: str) -> str:
 
 
 def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_serving(spark, _loaded_table(spark, sf_dir)).select(*ORDER_COLUMNS)
+    """All sixteen columns as loaded, with the load time as text."""
+    rows = read_serving(spark, _loaded_table(spark, sf_dir))
+    return rows.withColumn("ingested_at", F.date_format("ingested_at", INGESTED_AT_FORMAT))
+
+
+def sink_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form an external table takes."""
+    return format_for_sink(clean_orders(_dirty(spark, sf_dir), _load_time()))
 
 
 def serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +200,7 @@ QUERIES: dict[str, Registered] = {
     "reject_report": rejects,
     "valid_orders_view": valid_orders_view,
     "serving_roundtrip": serving_roundtrip,
+    "sink_format": sink_format,
     "serving_view": serving_view,
     **{name: _over_serving(query) for name, query in SERVING.items()},
     "loaded_row_count": loaded_row_count,

@@ -47,6 +47,9 @@ KEY_COLUMNS = [
     "reordered",
 ]
 
+# The one column of the data model that may be null.
+NULLABLE_COLUMN = "days_since_prior_order"
+
 # One row per product position in an order.
 DEDUP_KEYS = ["order_id", "product_id", "add_to_cart_order"]
 
