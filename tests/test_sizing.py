@@ -63,3 +63,12 @@ def test_a_failure_is_not_remembered():
     with pytest.raises(RuntimeError):
         ws.once("t", "a", fail)
     assert ws.once("t", "a", lambda path: path)
+
+
+def test_closing_a_workspace_leaves_nothing(spark, tmp_path):
+    ws = Workspace(f"{tmp_path}/ws")
+    path = ws.once("t", "a", lambda p: spark.range(3).write.parquet(p) or p)
+    spark.sql(f"CREATE TABLE closed_t USING parquet LOCATION '{path}'")
+    ws.tables.append("closed_t")
+    ws.close(spark)
+    assert not (tmp_path / "ws").exists() and not spark.catalog.tableExists("closed_t")

@@ -136,6 +136,7 @@ def order_item_parts(
 
     if hot_orders is None:
         return ordinary(lines), None
+    order_rows = ws.materialise(order_rows, "order-rows")  # both halves read it
     cold_lines, hot_lines = split_by_hot(lines, "order_id", hot_orders)
     numbered = number_hot(hot_lines, place, ws)
     with_product = join_dimension(numbered, products, "product_id", hot_parts)
@@ -177,6 +178,7 @@ def store_fact(spark: SparkSession, sf_dir: str, path: str, hot_rows: int = HOT_
         ordinary, large = order_item_parts(spark, sf_dir, hot_rows)
         writer = ordinary.write.bucketBy(buckets, "order_id").sortBy("order_id", "product_id")
         writer.option("path", f"{path}/ordinary").format("parquet").saveAsTable(stored)
+        workspace(spark).tables.append(stored)
         if large is not None:
             large.write.parquet(f"{path}/large")
     return StoredFact(stored, None if large is None else f"{path}/large")

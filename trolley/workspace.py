@@ -20,6 +20,7 @@ T = TypeVar("T")
 class Workspace:
     def __init__(self, root: str):
         self.root = root
+        self.tables: list[str] = []  # catalog tables over files below root
         self._made: dict[tuple[str, str], Any] = {}
         self._lock = threading.RLock()
 
@@ -47,6 +48,18 @@ class Workspace:
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+    def close(self, spark: SparkSession) -> None:
+        """Drop the catalog tables and delete every file of this workspace; results that still read them become
+        useless. For the owner of a session on a shared metastore, at its end."""
+        with self._lock:
+            for table in self.tables:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.tables.clear()
+            self._made.clear()
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _workspaces: dict[str, Workspace] = {}
 _lock = threading.Lock()
 
