@@ -29,7 +29,7 @@ from trolley.llm.rans import Coder, frequencies
 from trolley.workspace import workspace
 
 END = 1  # appended to each document
-KNOWN_WORDS = 400_000  # of the cache in a task; emptied when full
+KNOWN_WORDS = 1_000_000  # of the cache in a task, about 150 MB; emptied when full
 BLOCK_TOKENS = 1 << 18  # a block closes at the end of the document that reaches it
 PART_TOKENS = 1 << 25  # a task's stretch of documents, 64 MB of 16-bit ids
 BLOCK_SCHEMA = (
