@@ -3,6 +3,9 @@
 Each stage takes what its predecessor kept, written as Parquet and read again. All but the last return the columns of
 documents. The classifier is trained in numpy, so SQL cannot express the whole: ORACLE_SQL is None, and the tests
 hold every stage against a brute-force version.
+
+Nulls, empty and very long texts, ties, repeated rows and empty tables: as the stages' operators document. Extra columns
+of the input are dropped.
 """
 
 from __future__ import annotations

@@ -113,8 +113,8 @@ def window_hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
             exact = bounded.where(F.slice("words", start + 1, size) == F.col("window"))
             found.append(exact.select("row_key", "window_id", start.alias("start"), (start + size).alias("end")))
     if not found:
-        nothing = tokenised.select("row_key", F.lit("").alias("window_id"), F.lit(0).alias("start"), F.lit(0).alias("end"))
-        return nothing.where(F.lit(False))
+        columns = (F.lit("").alias("window_id"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+        return tokenised.select("row_key", *columns).where(F.lit(False))
     return _union(found)
 
 

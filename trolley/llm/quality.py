@@ -2,7 +2,8 @@
 
 Tokens are words between white space. Features are the n-grams (one and two tokens) of two readings of a text: the
 tokens themselves, and their shapes (letter case or digits, the punctuation around them, and a mark where a token
-repeats the one before), so that habits such as shouting or stuttering carry over to words never seen. A feature's value is one plus the logarithm of its count, scaled to unit length per document.
+repeats the one before), so that habits such as shouting or stuttering carry over to words never seen. A feature's
+value is one plus the logarithm of its count, scaled to unit length per document.
 
 Training takes a bounded sample of labelled documents (``most_rows``, by hash of the id). They are dealt to a fixed
 number of trainers; each makes per-coordinate FTRL-proximal updates over its own share, and the trainers' weights are
@@ -123,7 +124,8 @@ def fit(labelled: DataFrame, how: Training = Training()) -> pd.DataFrame:
     known = labelled.select("doc_id", "label").count()
     share = min(1.0, how.most_rows / max(known, 1))
     order = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30))
-    sample = labelled.where(order < F.lit(int(share * (1 << 30)))).select("doc_id", "text", "label", order.alias("order"))
+    sample = labelled.where(order < F.lit(int(share * (1 << 30))))
+    sample = sample.select("doc_id", "text", "label", order.alias("order"))
     trainers = sample.withColumn("trainer", F.pmod(F.col("order"), F.lit(how.trainers)))
 
     def learn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

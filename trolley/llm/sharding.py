@@ -5,8 +5,9 @@ that of the id's. Splitters are found by counting, not by sorting: a round count
 every candidate boundary (the next digits of the key), takes the nearest candidate for each splitter, and goes deeper
 only where none is within the tolerance. Then all rows are exchanged once, by range.
 
-Each shard is cut into ``parts`` ranges of bounded size, so a shard's positions are numbered range by range; the histogram already knows how many rows lie below each. A group of copies is split only when leaving it
-whole would put a splitter out of tolerance.
+Each shard is cut into ``parts`` ranges of bounded size, so a shard's positions are numbered range by range; the
+histogram already knows how many rows lie below each. A group of copies is split only when leaving it whole would put a
+splitter out of tolerance.
 """
 
 from __future__ import annotations
