@@ -78,6 +78,78 @@ def test_licenses(spark, empty, odd):
     assert [(r.sentence_ids, r.licenses) for r in licenses.find_licenses(odd).collect()] == [([], [])] * odd.count()
 
 
+WRAPPED_MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+WRAPPED_BSD = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+WRAPPED_GPL = """A program
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY."""
+
+
+def _commented(text, mark):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+
+
+def test_licenses_in_wrapped_lines(spark):
+    bsd = ("BSD-2-Clause", "BSD-3-Clause", "proprietary")
+    wrapped = [(WRAPPED_MIT, (3, 4), ("MIT",)), (WRAPPED_BSD, (50, 40, 41, 42, 43), bsd),
+               (WRAPPED_GPL, (21, 22, 23), ("GPL-3.0",))]
+    cases = [
+        (dressed, *expected)
+        for text, *expected in wrapped
+        for dressed in (text, text.replace("\n", "\r\n"), f"/*\n{_commented(text, ' *')}\n */",
+                        *(_commented(text, mark) for mark in ("#", "//", ";;", "--")))
+    ]
+    word_a_line = "\n".join(WRAPPED_MIT.replace("\n\n", " \0 ").split()).replace("\0", "")
+    cases += [
+        (word_a_line, (3, 4), ("MIT",)),
+        ("A title\nCopyright Somebody\n" + WRAPPED_MIT.split("\n\n", 2)[2], (3, 4), ("MIT",)),
+        ("Released under\nthe MIT License\nby somebody", (1,), ("MIT",)),
+        ("Licensed under the Apache License, Version 2.0\n(the \"License\")\nAll rights reserved", (11, 50),
+         ("proprietary",)),
+        ("Released under\n\nthe MIT License", (), ()),
+        ("Released under. The MIT License\nthe released under\nthe MIT License too", (), ()),
+        ("the " * 5000 + "\nReleased under the\nMIT License\n" + "the\n" * 5000, (1,), ("MIT",)),
+    ]
+    rows = [(i // 2, text) for i, (text, *_) in enumerate(cases)] * 2
+    found = licenses.find_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, tuple(r.sentence_ids), tuple(r.licenses)) for r in found) == Counter(
+        (i // 2, ids, names) for i, (_, ids, names) in enumerate(cases) for _ in range(2)
+    )
+
+
 def test_mix_of_odd_rows(odd, odd_rows):
     found = mixing.mix(odd)
     assert sorted(found.columns) == sorted(odd.columns)

@@ -4,18 +4,22 @@ A text is cut into sentences, each is normalised, known sentences of licences be
 found where the text's sequence of identifiers holds the identifiers of one of its rules, in order and with no other
 known sentence between them. Unknown sentences are skipped.
 
+Punctuation and blank lines end a sentence; a single line break, with the comment marks after it, may end one or be a
+space in it. So a known sentence is looked for from the start of each line or sentence on, to the end of any line.
+
 Sentences are generated and looked up in one stage (the tables of sentences and rules are constants), so only known
 ones are ever shuffled, whatever a text repeats.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.common import ascii_lower, row_key
 
-SENTENCE_END = r"[.!?;:]+[ \t\r\f]+|[ \t\r\f]*\n\s*"
+COMMENT_MARKS = r"\n[^a-z0-9\n\x80-\x{10FFFF}]+"  # at the start of a line; a line of nothing else is blank
+SENTENCE_END = r"[.!?;:]+[ \t\r\f\n]+"
 
 # Sentences of public licences and of customary notices, normalised, and the rules over them.
 SENTENCES = {
@@ -69,26 +73,55 @@ RULES = [
 ]
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case (A-Z), with one space for anything but letters and digits, none at the ends."""
-    return F.trim(F.regexp_replace(ascii_lower(sentence), r"[^a-z0-9]+", " "))
+def lines_of(text: Column) -> Column:
+    """Lower case (A-Z) lines with one space for anything but letters and digits, none at the ends, an empty one where a
+    sentence ends."""
+    marked = F.regexp_replace(ascii_lower(text), COMMENT_MARKS, "\n")
+    marked = F.regexp_replace(marked, SENTENCE_END, "\n\n")
+    marked = F.regexp_replace(marked, r"[^a-z0-9\n]+", " ")
+    return F.split(F.trim(F.regexp_replace(marked, " ?\n ?", "\n")), "\n")
 
 
 def known_sentences(documents: DataFrame, sentences: dict[int, str]) -> DataFrame:
-    """``row_key, at, sentence_id`` of every known sentence; ``at`` counts the text's pieces from 0."""
+    """``row_key, at, sentence_id`` of every known sentence, but not of those inside longer ones; ``at`` counts the
+    text's lines from 0."""
     spark = documents.sparkSession
     known = spark.range(1).select(
         F.explode(F.map_from_arrays(F.array(*map(F.lit, sentences.values())), F.array(*map(F.lit, sentences)))).alias(
             "sentence", "sentence_id"
         )
     )
-    # The outer form keeps Spark from splitting once more below, to filter on the number of pieces.
-    split = F.posexplode_outer(F.split("text", SENTENCE_END)).alias("at", "piece")
-    pieces = documents.select(row_key().alias("row_key"), split)
-    # Cheap first: normalising never lengthens, so a piece shorter than any known sentence is none.
-    likely = pieces.where(F.length("piece") >= min(map(len, sentences.values())))
-    named = likely.withColumn("sentence", normalised(F.col("piece")))
-    return named.join(F.broadcast(known), "sentence").select("row_key", "at", "sentence_id")
+    known = known.withColumn("first", F.substring_index("sentence", " ", 1))
+    firsts = sorted({sentence.split(" ")[0] for sentence in sentences.values()})
+    longest = max(map(len, sentences.values()))
+    most_lines = max(len(sentence.split(" ")) for sentence in sentences.values())
+
+    def starts(lines: Column) -> Column:
+        def start(line: Column, at: Column) -> Column:
+            rest = F.substring(F.array_join(F.slice(lines, at + 1, most_lines), "\n"), 1, longest + 1)
+            first = F.substring_index(line, " ", 1)
+            return F.when(first.isin(firsts), F.struct(at.alias("at"), first.alias("first"), rest.alias("rest")))
+
+        return F.array_compact(F.transform(lines, start))
+
+    # A line longer than any known sentence is in none; empty, it bounds what is joined.
+    lines = F.transform(lines_of(F.col("text")), lambda line: F.when(F.length(line) <= longest, line).otherwise(""))
+    # An array of one names the lines, so that they are made once. The outer form keeps Spark from making them once
+    # more below, to filter on the number of starts.
+    exploded = F.explode_outer(F.flatten(F.transform(F.array(lines), starts))).alias("start")
+    begun = documents.select(row_key().alias("row_key"), exploded).select("row_key", "start.*")
+    begun = begun.withColumn("flat", F.translate("rest", "\n", " "))
+
+    after = F.col("rest").substr(F.length("sentence") + 1, F.lit(1))
+    found = begun.join(F.broadcast(known), "first")
+    found = found.where(F.startswith("flat", "sentence") & after.isin("", "\n"))
+    breaks = F.regexp_count(F.col("rest").substr(F.lit(1), F.length("sentence")), F.lit("\n"))
+    ended = F.struct((F.col("at") + breaks).alias("end"), "sentence_id")
+    # Repeated rows and all but the longest of a line go in the map tasks; a text's starts then gather in one.
+    best = found.groupBy("row_key", "at").agg(F.max(ended).alias("best")).select("row_key", "at", "best.*")
+    earlier = Window.partitionBy("row_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    outside = best.withColumn("reached", F.coalesce(F.max("end").over(earlier), F.lit(-1)))
+    return outside.where(F.col("end") > F.col("reached")).select("row_key", "at", "sentence_id")
 
 
 def find_licenses(
@@ -102,8 +135,8 @@ def find_licenses(
     sequence as often as it occurs. Empty table: empty result. Other columns are ignored.
     """
     found = known_sentences(documents, sentences)
-    # A set, so that repeated rows count once; it is bounded by the text's length.
-    ordered = found.groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct("at", "sentence_id"))).alias("found"))
+    # Bounded by the text's length.
+    ordered = found.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("at", "sentence_id"))).alias("found"))
     ordered = ordered.select("row_key", F.transform("found", lambda s: s["sentence_id"]).alias("ids"))
     all_rows = documents.select("doc_id", row_key().alias("row_key")).join(ordered, "row_key", "left")
 
