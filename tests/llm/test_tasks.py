@@ -59,6 +59,23 @@ def test_token_files(spark, small, odd, empty, monkeypatch):
     assert _token_rows(spark, empty) == []
 
 
+TOKEN_TEXTS = [
+    "<|ENDOFTEXT|> <|endoftext|>. A<|StartOfText|>B <|startoftext|>! Word<|ENDOFTEXT|>, <| x|>",
+    "H\u0331 J\u030c H\u0331. aJ\u030cB, \u0331H X \u0331 A\u0300 E\u0301COLE T\u0308 W\u030a Y\u030a",
+    "STRASSE Straße ÉCOLE École Ǆ ǅ İstanbul \u212a \u212b WORD. Word!? \u00c9. A\u00a0B\u3000C\u0085D N'T I'M",
+]
+
+
+def test_token_files_of_special_tokens_and_combining_marks(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    documents = spark.createDataFrame(list(enumerate(TOKEN_TEXTS)), "doc_id bigint, text string")
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in _token_rows(spark, documents)}
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids + [tokens.END] for text in TOKEN_TEXTS]
+    assert found == dict(enumerate(expected))
+
+
 def test_language_by_held_out_accuracy(small):
     rows = language.identify(small).join(small.select("doc_id", "lang"), "doc_id").collect()
     held_out = [r for r in rows if r.held_out]

@@ -42,12 +42,20 @@ BLOCK_SCHEMA = (
 LETTERS = re.compile("[a-zß-öø-ɏ]+")
 PROBES = ["the", "tokenization", "straße", "ñandú", "zażółć", "ęxqz"]
 # Marks that end a word, after a letter or digit: the tokenizer always parts the two, so "word." is "word" and ".".
-MARKS = re.compile(rb"[.,!?;:#$%&*](?<=[a-z0-9].)[.,!?;:#$%&*]*(?=\s|\Z)")
+MARKS = re.compile(rb"[.,!?;:#$%&*](?<=[A-Za-z0-9].)[.,!?;:#$%&*]*(?=\s|\Z)")
+SPECIAL = b"<|"  # begins the special tokens, which the tokenizer looks for before it lower-cases
 
 
 def split_words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, lower-cased (A-Z, which the tokenizer does anyway), marks after them apart."""
-    return MARKS.sub(rb" \g<0>", text.encode("utf-8", "surrogatepass").lower()).split() if text else []
+    """Words between ASCII white space, marks after them apart. Words of ASCII alone are lower-cased, which the tokenizer
+    does anyway; others stay, as it composes letters and marks before that."""
+    if not text:
+        return []
+    raw = text.encode("utf-8", "surrogatepass")
+    if raw.isascii() and SPECIAL not in raw:
+        return MARKS.sub(rb" \g<0>", raw.lower()).split()
+    words = MARKS.sub(rb" \g<0>", raw).split()
+    return [word.lower() if word.isascii() and SPECIAL not in word else word for word in words]
 
 
 def byte_letters() -> list[str]:
@@ -76,11 +84,12 @@ class WordIds:
             self.known.clear()
         others = []
         for word in set().union(*texts) - self.known.keys():
-            text = word.decode("utf-8", "surrogatepass")
+            text = word.lower().decode("utf-8", "surrogatepass")
+            # No letter of LETTERS, nor of A-Z, composes with another one, so here lower-casing may come first.
             if self.direct and LETTERS.fullmatch(text) and text == text.lower():
                 self.known[word] = self._direct(text)
             else:
-                others.append((word, text))
+                others.append((word, word.decode("utf-8", "surrogatepass")))
         for (word, _), ids in zip(others, self._encode([text for _, text in others]), strict=True):
             self.known[word] = ids
 
