@@ -93,6 +93,13 @@ def test_language_of_odd_and_empty_tables(odd, empty):
     assert {(r.lang_pred, r.score) for r in unlearnt} == {("und", 0.0)}
 
 
+def test_languages_of_rows_without_own_ids_are_learnt(spark):
+    ids = [None, 4, 5, 6, 7, 8]
+    rows = [(ids[i % 6], f"text {i} of some words", f"l{i % 6}") for i in range(1200)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert language.prototypes(documents, 50)[0] == [f"l{i}" for i in range(6)]
+
+
 def test_bundle_is_the_sum_of_bound_ngrams():
     grams = language.Grams()
     vector = language.profile("Abb, ab", grams)

@@ -103,15 +103,16 @@ def profile(text: str | None, grams: Grams) -> np.ndarray | None:
 def prototypes(documents: DataFrame, per_language: int) -> tuple[list[str], np.ndarray]:
     """Languages in order and their prototypes, as rows of unit length, learnt from ``text, lang``.
 
-    At most about ``per_language`` documents of a language are learnt from, picked by hash of the id; a language's
-    documents are bundled in one task. The driver holds DIM numbers a language.
+    At most about ``per_language`` documents of a language are learnt from, picked by hash of id and text, so that rows
+    without an id or of one id are drawn one by one; a language's documents are bundled in one task. The driver holds
+    DIM numbers a language.
     """
     known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return [], np.zeros((0, DIM), np.float32)
     shares = F.from_json(F.lit(json.dumps({k: per_language / n for k, n in counts.items()})), "map<string,double>")
-    picked = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
+    picked = F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(picked < shares[F.col("lang")]).select("lang", "text")
 
     def bundle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
