@@ -38,8 +38,3 @@ def fact(spark, sf_dir):
     from trolley.plans import retail
 
     return retail.fact(spark, sf_dir)
-
-
-def rows(df):
-    """Order-free contents of a DataFrame."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from rowsets import rows
 
 from trolley.functions.labels import day_name
 from trolley.operators.filters import apply_filters, valid_orders

@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import rows
+from rowsets import rows
 from pyspark.sql import functions as F
 
 from trolley.operators.flatten import flatten_orders, payload_metrics

@@ -4,7 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from rowsets import rows
 from pyspark.sql import functions as F
 from test_clean import feed
 from test_flatten import ORDER, PAYLOADS, PRODUCT

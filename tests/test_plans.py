@@ -1,7 +1,7 @@
 """Physical plans: what must be there at scale, and what must not."""
 
 import pytest
-from conftest import rows
+from rowsets import rows
 
 from pyspark.sql import functions as F
 

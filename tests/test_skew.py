@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 from compare import connect, differences
-from conftest import rows
+from rowsets import rows
 from pyspark.sql import functions as F
 
 from trolley import oracle

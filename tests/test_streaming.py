@@ -2,7 +2,7 @@
 
 from pathlib import Path
 
-from conftest import rows
+from rowsets import rows
 from pyspark.sql import functions as F
 from test_clean import feed
 
