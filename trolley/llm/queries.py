@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import decontaminate, language, licenses, mixing, quality, search, secrets, sharding, simhash, tokens
+from trolley.llm import (
+    decontaminate,
+    infill,
+    language,
+    licenses,
+    mixing,
+    quality,
+    search,
+    secrets,
+    sharding,
+    simhash,
+    tokens,
+)
 from trolley.llm.common import crc32_text, table
 from trolley.workspace import workspace
 
@@ -95,6 +107,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", simhash.hex_digits("print").alias("fingerprint"), "component_id")
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.transform(table(spark, sf_dir, "documents"))
+    text = infill.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_tokens": op2_tokens,
@@ -106,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op12_infill": op12_infill,
 }

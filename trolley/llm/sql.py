@@ -98,8 +98,38 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP12_INFILL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+    FROM documents
+),
+numbers AS (
+    SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+           ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM d
+),
+cut AS (
+    SELECT doc_id, t, n,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+                THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(u[1 : least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+           array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1 : greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+           array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1 :], '') AS s
+    FROM numbers
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
 ORACLE_SQL = {
     "op1_decontaminate": OP1_DECONTAMINATE,
     "op4_licenses": OP4_LICENSES,
     "op5_mix": OP5_MIX,
+    "op12_infill": OP12_INFILL,
 }
