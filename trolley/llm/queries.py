@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.llm import (
+    collocations,
     decontaminate,
     infill,
     language,
@@ -107,6 +108,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", simhash.hex_digits("print").alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = infill.transform(table(spark, sf_dir, "documents"))
     text = infill.restored(F.col("output"), F.col("form"))
@@ -132,5 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
     "op12_infill": op12_infill,
 }

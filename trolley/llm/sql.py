@@ -98,6 +98,38 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP11_COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text,
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+          FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, c.j, l.a AS l, r.a AS r, n,
+           ((1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c JOIN totals USING (lang)
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : j], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1 :], ' ')
+),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+    SELECT DISTINCT c.lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, c.a
+    FROM candidates c, (SELECT unnest([2, 3, 4]) AS m), (SELECT unnest([1, 2, 3, 4]) AS i)
+    WHERE m < k AND i + m - 1 <= k
+),
+kept AS (SELECT * FROM scored s WHERE NOT EXISTS
+         (SELECT 1 FROM inside x WHERE x.lang = s.lang AND x.phrase = s.phrase AND 100 * x.a >= 100 * s.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank,
+       phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
 OP12_INFILL = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
@@ -131,5 +163,6 @@ ORACLE_SQL = {
     "op1_decontaminate": OP1_DECONTAMINATE,
     "op4_licenses": OP4_LICENSES,
     "op5_mix": OP5_MIX,
+    "op11_collocations": OP11_COLLOCATIONS,
     "op12_infill": OP12_INFILL,
 }
