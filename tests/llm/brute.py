@@ -111,3 +111,69 @@ def bm25(rows, queries, k=10):
                 scores.append((-round(s, 8), math.inf if i is None else i))
         out[q] = [(i, -s) for s, i in sorted(scores)[:k]]
     return out
+
+
+def infill(doc_id, text):
+    """n, form, output, prefix_chars, middle_chars."""
+    text = text or ""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    digest = sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[k : k + 8], 16) for k in range(0, 32, 8)]
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    prefix, middle, suffix = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return len(units), "plain", text, None, None
+    if h[3] % 100 < 80:
+        return len(units), "spm", f"<S>{suffix}<P>{prefix}<M>{middle}", len(prefix), len(middle)
+    return len(units), "psm", f"<P>{prefix}<S>{suffix}<M>{middle}", len(prefix), len(middle)
+
+
+def phrase_counts(texts, longest=5):
+    """Occurrences of every phrase of 1 to ``longest`` words, as tuples of words."""
+    count = Counter()
+    for text in texts:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, longest + 1):
+                count.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return count
+
+
+def collocations(rows, least=100, share=100, top=2000):
+    """rows: (text, lang) -> tuples lang, rank, phrase, a, l, r, n, score."""
+    out = []
+    for lang in {lang or "und" for _, lang in rows}:
+        f = phrase_counts(t for t, own in rows if (own or "und") == lang)
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        covered = {p[i:j] for p, a in candidates.items() for i in range(len(p)) for j in range(i + 2, len(p) + 1)
+                   if j - i < len(p) and 100 * a >= share * f[p[i:j]]}
+        scored = []
+        for p, a in candidates.items():
+            cuts = [(1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            if p not in covered:
+                scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        out += [(lang, rank, phrase.decode(), -a, left, right, n, -score)
+                for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1)]
+    return sorted(out)
+
+
+def shingle_set(text):
+    words = SPACED.findall(lower(text))
+    if len(words) < 3:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)}
+
+
+def similar(texts, percent=85):
+    """Index of the first text of each text's component."""
+    sets = [shingle_set(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]) and label[i] != label[j]:
+                new, old = sorted((label[i], label[j]))
+                label = [new if x == old else x for x in label]
+    return label

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trolley.llm.bloom import Bloom, bloom_of
 from trolley.llm.common import materialise
 
 NO_LANG = "und"
@@ -36,10 +37,6 @@ BREAK = b"."  # stands for every run of separators; no word holds it
 FOLD = bytes.maketrans(
     string.ascii_uppercase.encode() + b",;:!?\n\x0b\x0c\r", string.ascii_lowercase.encode() + BREAK * 9
 )
-MOST_BITS = 1 << 28  # of a Bloom filter: 32 MB
-BITS_PER_ITEM = 16
-SLOT_BITS = 1 << 15
-PROBES = 3
 
 
 def chunks(text: bytes) -> Iterator[tuple[int, bytes]]:
@@ -93,44 +90,6 @@ def dictionary(documents: DataFrame) -> DataFrame:
     return materialise(summed.select("lang", "own", F.col("words").cast("string").alias("words"), "freq"), "chunks")
 
 
-class Bloom:
-    """A bit array in which every added hash has its bits set."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for shift in probe_shifts(len(self.bits) * 8):
-            at = (hashes >> np.uint64(shift)) & self.mask
-            found &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return found
-
-
-def probe_shifts(bits: int) -> list[int]:
-    """The hash's bits are used from the top in PROBES windows, which overlap where 64 bits are too few."""
-    room = 64 - (bits.bit_length() - 1)
-    return [room * k // (PROBES - 1) for k in range(PROBES)]
-
-
-def bloom_of(items: DataFrame) -> Bloom:
-    """A filter over xxhash64 of ``lang`` and ``phrase``: set bits are gathered into bitmaps by Spark, and only those
-    reach the driver, at most MOST_BITS bits however many items there are."""
-    wanted = max(items.count() * BITS_PER_ITEM, SLOT_BITS)
-    bits = min(MOST_BITS, 1 << (wanted - 1).bit_length())
-    hashed = F.xxhash64("lang", "phrase")
-    places = F.array(*[F.shiftrightunsigned(hashed, s).bitwiseAND(F.lit(bits - 1)) for s in probe_shifts(bits)])
-    at = items.select(F.explode(places).alias("at"))
-    # bitmap_construct_agg takes positions below 32,768, the bits of one slot.
-    slots = at.groupBy(F.shiftright("at", 15).alias("slot")).agg(
-        F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(SLOT_BITS - 1))).alias("bitmap")
-    )
-    whole = np.zeros(bits // 8, np.uint8)
-    for slot, bitmap in slots.toLocalIterator():
-        whole[slot * (SLOT_BITS // 8) :][: SLOT_BITS // 8] = np.frombuffer(bitmap, np.uint8)
-    return Bloom(whole)
-
-
 class Block:
     """Chunks of one language, their words as numbers. ``start[i]`` is true where a phrase may start, ``weight[i]`` is
     the frequency of the chunk, and ``room[i]`` the number of words from i to the next break or end of a chunk."""
@@ -256,9 +215,9 @@ def frequent_phrases(documents: DataFrame, least: int) -> tuple[DataFrame, DataF
     words = materialise(words, "words")
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = words.where(F.col("a") >= least)
-    word_filter = bloom_of(frequent)
+    word_filter = bloom_of(frequent, "lang", "phrase")
     pairs = count_phrases(parsed, pair_counts, [word_filter], least)
-    longer = count_phrases(parsed, longer_counts, [word_filter, bloom_of(pairs)], least)
+    longer = count_phrases(parsed, longer_counts, [word_filter, bloom_of(pairs, "lang", "phrase")], least)
     return totals, frequent, pairs.unionByName(longer)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.llm import (
+    chosen_path,
     collocations,
     decontaminate,
     infill,
@@ -126,6 +127,10 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_tokens": op2_tokens,
@@ -139,4 +144,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_collocations": op11_collocations,
     "op12_infill": op12_infill,
+    "op13_minhash": op13_minhash,
 }
