@@ -7,7 +7,7 @@ from rowsets import rows
 
 from trolley.functions.labels import day_name
 from trolley.operators.filters import apply_filters, valid_orders
-from trolley.operators.ranking import rank_by_count
+from trolley.operators.ranking import rank_by_value
 from trolley.plans import dashboard
 from trolley.plans.mart import MART_QUERIES, InconsistentOrders, order_mart
 from trolley.schema import LANDED_SCHEMA, ORDER_COLUMNS
@@ -92,13 +92,24 @@ def test_null_groups_stay(spark):
     assert {r.department: r.rank_within_department for r in ranks} == {None: 1, "d": 1}
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_rank_by_count_is_rank(spark, seed):
+@pytest.mark.parametrize("seed", range(4))
+def test_rank_by_value_is_rank(spark, seed):
+    """Ties run over many stretches of the order, and over whole ones."""
     rng = random.Random(seed)
-    df = spark.createDataFrame([(rng.choice("ab"), rng.randint(1, 9), i) for i in range(200)], "g string, v long, i int")
+    few = 1 + 3 * seed
+    df = spark.createDataFrame(
+        [(rng.choice("ab") if i % 9 else None, rng.randint(1, few) if i % 11 else None, i) for i in range(300)],
+        "g string, v long, i int",
+    )
     window = Window.partitionBy("g").orderBy(F.desc("v"))
     expected = df.withColumn("r", F.rank().over(window).cast("bigint"))
-    assert rows(rank_by_count(df, df, "g", "v", "r")) == rows(expected)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        assert rows(rank_by_value(df, "g", "v", "i", "r")) == rows(expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def _random_fact(spark, seed, consistent=True):

@@ -36,6 +36,7 @@ def test_end_to_end(spark, at, fmt):
         "rows_written": 6,
         "orders": sum(len(d["orders"]) for d in documents),
         "declared_orders": sum(d["total_orders"] for d in documents),
+        "bad_payloads": 0,
     }
     assert jobs.run(spark, at) == 6
     table = spark.table(at.table)
@@ -48,10 +49,14 @@ def test_staging_again(spark, at):
     jobs.ingest(spark, at, "b1")  # the same batch replaces itself
     assert jobs.stage(spark, at).rows == 6
     assert jobs.load(spark, at) == 6
-    assert jobs.load(spark, at, idempotent=True) == 0
+    assert jobs.load(spark, at, idempotent=True) == 6  # a load that is repeated replaces itself
+    assert jobs.load(spark, at) == 6
     assert spark.table(at.table).count() == 6
-    assert jobs.load(spark, at) == 6  # the default append repeats rows, like a blind re-run
-    assert spark.table(at.table).count() == 12
+    jobs.cleanup(spark, at, jobs.staged_before(spark, at))
+    for idempotent, total in ((True, 6), (False, 12)):  # the same rows delivered anew
+        jobs.ingest(spark, at, "b2")
+        assert jobs.run(spark, at, idempotent=idempotent) == (0 if idempotent else 6)
+        assert spark.table(at.table).count() == total
 
 
 def test_cleanup_takes_only_what_was_staged(spark, at):
@@ -188,11 +193,89 @@ def test_odd_folder_names_are_cleaned_up(spark, at):
         jobs.stage(spark, odd)
 
 
-def test_failed_cleanup_is_an_error(spark, at, monkeypatch):
+def test_files_that_stay_are_not_loaded_again(spark, at, monkeypatch):
     jobs.ingest(spark, at, "b1")
-    monkeypatch.setattr(jobs, "remove", lambda spark, paths: paths[:1])
-    with pytest.raises(jobs.CleanupFailed, match="6 rows are loaded, but 1 paths"):
+    monkeypatch.setattr(jobs, "remove", lambda spark, paths: paths)  # nothing can be deleted
+    assert jobs.run(spark, at) == 6
+    assert jobs.run(spark, at) == 0
+    jobs.ingest(spark, at, "b2")
+    assert jobs.run(spark, at) == 6
+    assert spark.table(at.table).count() == 12
+
+
+def test_kept_files_and_a_file_of_the_same_name(spark, at):
+    jobs.ingest(spark, at, "b1", "csv")
+    assert jobs.run(spark, at, keep_files=True) == 6
+    with pytest.raises(NoStagedFiles):
+        jobs.run(spark, at, keep_files=True)
+    file = next(Path(at.raw).rglob("*.csv"))
+    (file.parent / f".{file.name}.crc").unlink()
+    file.write_text(file.read_text() + file.read_text().splitlines()[1] + "\n")  # delivered anew under its old name
+    assert jobs.run(spark, at) == 6 and spark.table(at.table).count() == 12
+
+
+@pytest.mark.parametrize("name", ["my_orders_raw", "orders_raw"])
+def test_a_load_that_fails_half_way(spark, at, name, monkeypatch):
+    """It stops between the two inserts, and the next run leaves every row once."""
+    at = jobs.Locations(at.payloads, at.raw, at.processed, at.warehouse, f"{name}_{abs(hash(at.raw))}.".rstrip("."), 4)
+    items = feed(spark, {}, {"order_id": "2"}).withColumn(
+        "add_to_cart_order", F.explode(F.sequence(F.lit(1), F.when(F.col("order_id") == "1", 50).otherwise(3)))
+    )
+    land_batch(items.select(*[F.col(c).try_cast(t) for c, t in LANDED_TYPES.items()]), at.raw, "b1")
+    monkeypatch.setattr(jobs, "append", lambda *a, **k: serving.append(*a, **k, hot_rows=10))
+    write, calls = serving._replace_load, []
+
+    def fails_once(rows, table, load_id):
+        calls.append(table)
+        if len(calls) == 2:
+            raise OSError("stopped")
+        return write(rows, table, load_id)
+
+    monkeypatch.setattr(serving, "_replace_load", fails_once)
+    with pytest.raises(OSError, match="stopped"):
         jobs.run(spark, at)
+    assert jobs.served(spark, at).count() == 50  # half a load
+    land_batch(feed(spark, {"order_id": "3"}).select(*[F.col(c).try_cast(t) for c, t in LANDED_TYPES.items()]), at.raw, "b2")
+    assert jobs.run(spark, at) == 54
+    assert jobs.served(spark, at).count() == spark.table(f"{at.database}.orders").count() == 54
+
+
+def test_bad_payloads_are_counted_and_kept(spark, at):
+    good = Path(at.payloads, "p.json").read_text().splitlines()
+    bad = [good[1][:-40], "{]", "7"]
+    Path(at.payloads, "q.json").write_text("\n".join([*bad, "", good[0]]))
+    counts = jobs.ingest(spark, at, "b1")
+    assert counts["bad_payloads"] == 3
+    assert counts["declared_orders"] == sum(json.loads(p)["total_orders"] for p in [*good, good[0]])
+    assert counts["rows_written"] == 8
+    kept = spark.read.parquet(f"{at.rejects}/batch=b1").collect()
+    assert sorted(r.payload for r in kept) == sorted(bad) and all(r.file.endswith("q.json") for r in kept)
+    Path(at.payloads, "q.json").write_text(good[0])
+    assert jobs.ingest(spark, at, "b1")["bad_payloads"] == 0
+    assert not Path(at.rejects, "batch=b1").exists()
+
+
+def test_extreme_ids_load_idempotently(spark, at):
+    ids = ["-9000000000000000000", "9000000000000000000", "1", "9223372036854775807", "-9223372036854775808"]
+    for batch in range(2):
+        items = feed(spark, *[{"order_id": i} for i in ids]).select(*[F.col(c).try_cast(t) for c, t in LANDED_TYPES.items()])
+        land_batch(items, at.raw, f"b{batch}")
+        assert jobs.run(spark, at, idempotent=True) == (0 if batch else 5)
+    assert spark.table(at.table).count() == 5
+
+
+def test_a_batch_is_swapped_in_whole(spark, tmp_path, monkeypatch):
+    """Whatever fails, the old batch or the new one stands."""
+    from trolley.sinks import files
+
+    for name in ("old", "new"):
+        spark.range(3).write.parquet(f"{tmp_path}/{name}")
+    files.replace(spark, f"{tmp_path}/new", f"{tmp_path}/old")
+    assert spark.read.parquet(f"{tmp_path}/old").count() == 3 and not Path(tmp_path, "new").exists()
+    with pytest.raises(OSError):
+        files.replace(spark, f"{tmp_path}/missing", f"{tmp_path}/old")
+    assert spark.read.parquet(f"{tmp_path}/old").count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["old"]
 
 
 def test_empty_rerun_keeps_the_earlier_batch(spark, at):

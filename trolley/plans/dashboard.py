@@ -26,7 +26,7 @@ from trolley.functions.labels import (
     interval_segment,
 )
 from trolley.functions.rates import hundredths, mean_of_hundredths, pct2, ratio2
-from trolley.operators.ranking import rank_by_count
+from trolley.operators.ranking import rank_by_value
 
 Query = Callable[[DataFrame], DataFrame]
 
@@ -188,9 +188,8 @@ def q20_reorder_by_department_dow(fact: DataFrame) -> DataFrame:
 def q21_product_rank_in_department(fact: DataFrame) -> DataFrame:
     product = ["department", "product_id", "product_name"]
     metrics = fact.groupBy(*product).agg(_items(), _orders("unique_orders"), _reorders())
-    # The ranks need no distinct orders, so their input is a lighter aggregate of the same groups.
-    counts = fact.groupBy(*product).agg(_items())
-    ranked = rank_by_count(metrics, counts, "department", "total_items_sold", "rank_within_department")
+    metrics = metrics.withColumn("_product", F.struct("product_id", "product_name"))
+    ranked = rank_by_value(metrics, "department", "total_items_sold", "_product", "rank_within_department")
     return ranked.orderBy("department", "rank_within_department", "product_id").select(
         "department", "product_name", "total_items_sold", "unique_orders", _rate(), "rank_within_department"
     )

@@ -52,20 +52,34 @@ def write_processed(clean: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def plain_paths(spark: SparkSession, uris: list[str]) -> list[str]:
-    """File paths as they are, from the encoded form in which Spark names the files of a scan."""
-    jvm = spark._jvm
-    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString() for uri in uris]
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def replace(spark: SparkSession, fresh: str, path: str) -> None:
-    """Move a written directory to its place; what stood there goes just before."""
+    """Move a written directory to its place. What stood there steps aside first and goes last, so that at every moment
+    one of the two is whole."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(fresh), hadoop.Path(path)
+    aside = hadoop.Path(target.getParent(), f"_old-{uuid.uuid4().hex}")
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(target, True)
-    if not files.rename(source, target):
+    replaced = files.exists(target)
+    if replaced and not _renamed(files, target, aside):
+        raise OSError(f"could not move {path} aside")
+    if not _renamed(files, source, target):
+        if replaced:
+            _renamed(files, aside, target)
         raise OSError(f"could not move {fresh} to {path}")
+    if replaced:
+        files.delete(aside, True)
+
+
+def _renamed(files, source, target) -> bool:
+    try:
+        return files.rename(source, target)
+    except Py4JJavaError:
+        return False
 
 
 def remove(spark: SparkSession, paths: list[str], threads: int = 32) -> list[str]:

@@ -33,14 +33,14 @@ def _listed(path: Paths) -> list[str]:
 
 
 def list_files(spark: SparkSession, path: Paths, pattern: str) -> DataFrame:
-    """``path`` column of the files below a directory, on any file system; contents are not read."""
+    """``path, modified, length`` of the files below a directory, on any file system; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .load(_listed(path))
     )
-    return files.select("path")
+    return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
 def has_files(spark: SparkSession, path: Paths, pattern: str) -> bool:
@@ -52,6 +52,16 @@ def has_files(spark: SparkSession, path: Paths, pattern: str) -> bool:
         raise
 
 
+def staged_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, modified, length`` of what is staged in either format."""
+    try:
+        return list_files(spark, path, "*.{parquet,csv}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise NoStagedFiles(f"no staged orders files found in {path}") from e
+        raise
+
+
 def _files_by_types(spark: SparkSession, path: Paths) -> list[list[str]]:
     """Parquet files grouped by the column types in their footers, which tasks read without touching any rows."""
 
@@ -111,13 +121,14 @@ def read_staged_orders(spark: SparkSession, path: Paths) -> DataFrame:
     With both formats present the Parquet side is rendered as text, so that no CSV value is lost before cleaning.
     """
     frames = []
-    if has_files(spark, path, "*.parquet"):
-        frames.append(read_staged_parquet(spark, path))
-    if has_files(spark, path, "*.csv"):
-        frames.append(read_staged_csv(spark, path))
+    for ending, read in ((".parquet", read_staged_parquet), (".csv", read_staged_csv)):
+        if isinstance(path, str):
+            if has_files(spark, path, f"*{ending}"):
+                frames.append(read(spark, path))
+        elif named := [file for file in path if file.endswith(ending)]:  # listed already
+            frames.append(read(spark, named))
     if not frames:
         raise NoStagedFiles(f"no staged orders files found in {path}")
     if len(frames) == 1:
         return frames[0]
     return reduce(DataFrame.unionByName, [f.select(*[F.col(c).cast("string") for c in ORDER_COLUMNS]) for f in frames])
-

@@ -19,15 +19,21 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
 LARGE = "orders_large"
 
 
-def read_serving(spark: SparkSession, table: str) -> DataFrame:
-    """The serving table or view by catalog name, with the orders too large for a bucket, if any.
+def sibling(table: str, name: str) -> str:
+    """Another table of the same database."""
+    return f"{table.rpartition('.')[0]}.{name}"
+
+
+def read_loads(spark: SparkSession, table: str) -> DataFrame:
+    """The serving table with the orders too large for a bucket, if any, and the load that brought each row.
 
     Without such orders the plan sees a bucketed table; with them it is a union, which falls back to shuffles.
     """
-    rows = spark.table(table)
-    database, _, name = table.rpartition(".")
-    large = f"{database}.{LARGE}"
-    if name != "orders_raw" or not spark.catalog.tableExists(large):
-        return rows
-    return rows.unionByName(spark.table(large))
+    rows, large = spark.table(table), sibling(table, LARGE)
+    return rows.unionByName(spark.table(large)) if spark.catalog.tableExists(large) else rows
 
+
+def read_serving(spark: SparkSession, table: str) -> DataFrame:
+    """The serving table or view by catalog name: the 16 columns, large orders included."""
+    rows = read_loads(spark, table) if table.endswith(".orders_raw") else spark.table(table)
+    return rows.select(*OUTPUT_COLUMNS)

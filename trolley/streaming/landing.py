@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators.clean import clean_orders, deduplicate, drop_null_keys, stamp, type_columns
+from trolley.operators.clean import clean_orders
+from trolley.operators.ranges import in_ranges, occupied_ranges
 from trolley.schema import CLEAN_SCHEMA, DEDUP_KEYS, OUTPUT_COLUMNS
-from trolley.sinks.serving import new_rows
+from trolley.sinks.files import exists
+from trolley.sizing import size_shuffles
 from trolley.sources.staged import read_staged_orders
+from trolley.workspace import workspace
 
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -27,7 +30,7 @@ def read_landing_stream(
     max_bytes: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
-    """Names of new Parquet and CSV files below ``path``: column ``path``. Contents are read by the batch reader, so
+    """Names and sizes of new Parquet and CSV files below ``path``: columns ``path, length``. Contents are read by the batch reader, so
     a stream takes whatever mix of formats and column types a batch takes.
 
     ``max_files`` or ``max_bytes`` bounds one micro-batch, so a large backlog is worked off in steps that each
@@ -41,14 +44,15 @@ def read_landing_stream(
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(path).select("path")
+    return reader.load(path).select("path", "length")
 
 
 def _run(stream: DataFrame, out: str, handle: Callable[[DataFrame, int], None]) -> None:
     def each(files: DataFrame, batch_id: int) -> None:
         # Names only, at most max_files of them. An empty micro-batch has none.
-        if paths := [row.path for row in files.collect()]:
-            handle(read_staged_orders(files.sparkSession, paths), batch_id)
+        if listed := files.collect():
+            size_shuffles(files.sparkSession, sum(row.length for row in listed))
+            handle(read_staged_orders(files.sparkSession, [row.path for row in listed]), batch_id)
 
     # The progress log lives inside the output it describes, so the two cannot be mixed up between runs.
     query = stream.writeStream.option("checkpointLocation", f"{out}/_progress").trigger(availableNow=True)
@@ -68,30 +72,59 @@ def dedup_stream(stream: DataFrame, out: str, ingested_at: Column | None = None)
     """Clean each micro-batch and append only keys that no earlier micro-batch delivered.
 
     The written table is the state: it needs no watermark, which this data has no event time for, and it grows on
-    disk instead of in executors. Only the ranges of orders that the micro-batch occupies are looked up; orders arrive
-    roughly in sequence and files are sorted by order, so file statistics skip most of the table. The sort is the one
-    the deduplication needs anyway.
+    disk instead of in executors. Beside it a summary holds the order ranges of every micro-batch (see
+    ``occupied_ranges``). A new one is cleaned once, into a table of its own; of the earlier folders only those are opened
+    whose ranges meet its ranges, and in those only the files that may hold its orders.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        typed = type_columns(batch)
-        rows = stamp(drop_null_keys(typed), ingested_at)
+        spark = batch.sparkSession
+        target = f"{out}/batch_id={batch_id}"
+        bounds = Observation()
+        # The copies of a key within the micro-batch go here, and the sort is the one that finds them.
+        cleaned = clean_orders(batch, ingested_at).sortWithinPartitions(*DEDUP_KEYS)
+        ends = [f("order_id").alias(n) for n, f in (("low", F.min), ("high", F.max))]
         if batch_id == 0:
-            rows = deduplicate(rows, DEDUP_KEYS)
+            cleaned.observe(bounds, *ends).write.mode("overwrite").parquet(target)
+            rows = spark.read.schema(CLEAN_SCHEMA).parquet(target)
         else:
-            rows = new_rows(rows, _written(batch.sparkSession, out).where(F.col("batch_id") < batch_id))
-        sorted_rows = rows.sortWithinPartitions(*DEDUP_KEYS)
-        sorted_rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            rows = workspace(spark).materialise(cleaned.observe(bounds, *ends), "micro-batch")
+        ranges = occupied_ranges(rows, "order_id", bounds=(bounds.get["low"], bounds.get["high"]))
+        if batch_id:
+            fresh = unseen(rows, out, batch_id, ranges)
+            fresh.sortWithinPartitions(*DEDUP_KEYS).write.mode("overwrite").parquet(target)
+        kept = spark.createDataFrame([(batch_id, *r) for r in ranges], SUMMARY)
+        kept.coalesce(1).write.mode("overwrite").parquet(f"{out}/_ranges/batch_id={batch_id}")
 
     _run(stream, out, handle)
 
 
-def _written(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(f"{CLEAN_SCHEMA}, batch_id int").parquet(out)
+SUMMARY = "batch bigint, low bigint, high bigint"
+
+
+def earlier_batches(spark: SparkSession, out: str, batch_id: int, ranges: list[tuple[int, int]]) -> list[int]:
+    """Earlier micro-batches that may hold orders of the ranges."""
+    if not exists(spark, f"{out}/_ranges"):
+        return []
+    summary = spark.read.schema(SUMMARY).option("recursiveFileLookup", True).parquet(f"{out}/_ranges")
+    own = spark.createDataFrame(ranges, "from_id bigint, to_id bigint")
+    # At most 129 ranges for each micro-batch and for this one.
+    met = summary.where(F.col("batch") < batch_id).join(F.broadcast(own), F.expr("low <= to_id AND high >= from_id"))
+    return sorted(row.batch for row in met.select("batch").distinct().collect())
+
+
+def unseen(rows: DataFrame, out: str, batch_id: int, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Those of ``rows``, one per key, whose key no earlier micro-batch holds."""
+    spark = rows.sparkSession
+    folders = [f"{out}/batch_id={b}" for b in earlier_batches(spark, out, batch_id, ranges)]
+    if not folders:
+        return rows
+    seen = spark.read.schema(CLEAN_SCHEMA).parquet(*folders).where(in_ranges("order_id", ranges))
+    return rows.join(seen.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti").select(*rows.columns)
 
 
 def read_stream_output(spark: SparkSession, out: str) -> DataFrame:
-    return _written(spark, out).select(*OUTPUT_COLUMNS)
+    return spark.read.schema(f"{CLEAN_SCHEMA}, batch_id int").parquet(out).select(*OUTPUT_COLUMNS)
 
 
 def stateful_dedup(stream: DataFrame) -> DataFrame:
