@@ -78,7 +78,7 @@ def test_chunks_hold_every_phrase_once(every, longest, monkeypatch):
     monkeypatch.setattr(collocations, "LONGEST_CHUNK", longest)
     text = some_text(random.Random(5), 700)
     found = Counter()
-    for own, words in collocations.chunks(text.encode()):
+    for own, words in collocations.chunks(text.encode(), collocations.Triggers()):
         words = words.decode().split(" ")
         for i in range(own):
             for k in range(1, 6):

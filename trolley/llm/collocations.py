@@ -27,10 +27,11 @@ from trolley.llm.common import materialise
 
 NO_LANG = "und"
 LONGEST = 5  # words of a phrase
-TRIGGER_EVERY = 16  # one word in so many is a trigger
+TRIGGER_EVERY = 32  # one word in so many is a trigger
+KNOWN_WORDS = 400_000  # whose triggers a task remembers
 LONGEST_CHUNK = 256  # own words of a chunk, where no trigger comes
 CHUNKS_HELD = 200_000  # distinct chunks in a task before they go out
-BLOCK_WORDS = 500_000  # words whose phrases are counted together in a task
+BLOCK_WORDS = 2_000_000  # words whose phrases are counted together in a task
 SEED = 42
 BREAK = b"."  # stands for every run of separators; no word holds it
 # Lower case for A-Z, one byte for all of . , ; : ! ? and U+000A to U+000D.
@@ -39,11 +40,21 @@ FOLD = bytes.maketrans(
 )
 
 
-def chunks(text: bytes) -> Iterator[tuple[int, bytes]]:
+class Triggers(dict):
+    """Whether a word is a trigger, remembered for a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> bool:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh32_intdigest(word, SEED) % TRIGGER_EVERY == 0
+        return found
+
+
+def chunks(text: bytes, triggers: Triggers) -> Iterator[tuple[int, bytes]]:
     """``(own, words)`` of each chunk: words and breaks joined by spaces, the phrases that start in the first ``own`` of
     them being the chunk's."""
     words = text.translate(FOLD).replace(BREAK, b" " + BREAK + b" ").split()
-    trigger = [xxhash.xxh32_intdigest(w, SEED) % TRIGGER_EVERY == 0 for w in words]
+    trigger = list(map(triggers.__getitem__, words))
     at = 0
     while at < len(words):
         end = min(at + LONGEST_CHUNK, len(words))
@@ -63,6 +74,7 @@ def dictionary(documents: DataFrame) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
+        triggers = Triggers()
 
         def out() -> Iterator[pa.RecordBatch]:
             keys, freq = list(held), list(held.values())
@@ -76,7 +88,7 @@ def dictionary(documents: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                for own, words in chunks(text.as_py()):
+                for own, words in chunks(text.as_py(), triggers):
                     held[lang, own, words] += 1
                     if len(held) >= CHUNKS_HELD:
                         yield from out()
@@ -90,28 +102,34 @@ def dictionary(documents: DataFrame) -> DataFrame:
     return materialise(summed.select("lang", "own", F.col("words").cast("string").alias("words"), "freq"), "chunks")
 
 
+class Numbers(dict):
+    """Words in the order in which they are met first."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Block:
     """Chunks of one language, their words as numbers. ``start[i]`` is true where a phrase may start, ``weight[i]`` is
     the frequency of the chunk, and ``room[i]`` the number of words from i to the next break or end of a chunk."""
 
     def __init__(self, lang: str, texts: list[bytes], own: list[int], freq: list[int]):
         self.seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-        number: dict[bytes, int] = {}
-        split = [t.split() for t in texts]
-        lengths = np.fromiter(map(len, split), np.int64, len(split))
-        self.ids = np.fromiter(
-            (number.setdefault(w, len(number)) for words in split for w in words), np.int64, int(lengths.sum())
-        )
+        lengths = np.fromiter((t.count(b" ") + 1 for t in texts), np.int64, len(texts))
+        number, size = Numbers(), int(lengths.sum())
+        self.ids = np.fromiter(map(number.__getitem__, b" ".join(texts).split(b" ")), np.int64, size)
         self.words = list(number)
         ends = np.cumsum(lengths)
-        offset = np.arange(len(self.ids)) - np.repeat(ends - lengths, lengths)
+        offset = np.arange(size) - np.repeat(ends - lengths, lengths)
         self.start = offset < np.repeat(np.asarray(own), lengths)
         self.weight = np.repeat(np.asarray(freq, np.int64), lengths)
-        stop = np.repeat(ends, lengths)
+        stop = np.full(size, size)
+        stop[ends - 1] = ends
         if BREAK in number:
-            breaks = np.append(np.flatnonzero(self.ids == number[BREAK]), len(self.ids))
-            stop = np.minimum(stop, breaks[np.searchsorted(breaks, np.arange(len(self.ids)))])
-        self.room = stop - np.arange(len(self.ids))
+            breaks = np.flatnonzero(self.ids == number[BREAK])
+            stop[breaks] = breaks
+        self.room = np.minimum.accumulate(stop[::-1])[::-1] - np.arange(size)
 
     def known(self, phrases: list[bytes], bloom: Bloom) -> np.ndarray:
         digest = xxhash.xxh64_intdigest
