@@ -356,6 +356,20 @@ def oracle_sql() -> dict[str, str]:
         "clean_orders": _on(DIRTY, TYPED, CLEAN, select="SELECT * FROM clean"),
         "stream_dedup": _on(DIRTY, TYPED, CLEAN, select="SELECT * FROM clean"),
         "stream_ingest": _on(CLEAN_FACT, select=_ODD_NAMES),
+        "cleanup_leftovers": _on(CLEAN_FACT, select=_ODD_NAMES),
+        "load_replayed": _on(CLEAN_FACT, select=f"SELECT {COLUMNS} FROM clean_fact"),
+        "payload_rejects": _on(
+            "documents AS (SELECT DISTINCT order_id, order_id // 20 AS payload, (add_to_cart_order - 1) // 500 AS part "
+            "FROM fact)",
+            select="""
+            SELECT (SELECT count(*) FROM fact WHERE order_id // 20 % 7 <> 0) AS rows_landed,
+                   count(DISTINCT order_id) FILTER (WHERE payload % 7 <> 0) AS orders_landed,
+                   count(DISTINCT (payload, part)) FILTER (WHERE payload % 7 = 0) AS payloads_kept,
+                   count(DISTINCT (payload, part)) FILTER (WHERE payload % 7 = 0) AS bad_payloads,
+                   count(*) FILTER (WHERE payload % 7 <> 0) AS orders,
+                   count(DISTINCT order_id) FILTER (WHERE payload % 7 <> 0) AS declared_orders
+            FROM documents""",
+        ),
         "reject_report": _on(
             DIRTY,
             TYPED,

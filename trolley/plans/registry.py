@@ -24,7 +24,7 @@ from trolley.schema import INGESTED_AT_FORMAT, ORDER_COLUMNS
 from trolley.sinks.serving import new_rows
 from trolley.sources.payloads import read_payloads
 from trolley.sources.staged import read_staged_orders
-from trolley.sources.tables import read_serving
+from trolley.sources.tables import read_serving, sibling
 from trolley.streaming.landing import dedup_stream, ingest_stream, read_landing_stream, read_stream_output
 from trolley.workspace import workspace
 
@@ -135,19 +135,53 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream_output(spark, out).select(*ORDER_COLUMNS)
 
 
+def _locations(root: str, payloads: str) -> jobs.Locations:
+    database = "trolley_" + root.rsplit("-", 1)[-1]
+    return jobs.Locations(payloads, f"{root}/raw", f"{root}/processed", f"{root}/warehouse", database)
+
+
 def _loaded_table(spark: SparkSession, sf_dir: str) -> str:
     """Ingest, stage and load the payloads into a serving table of this session; returns its name."""
-    ws = workspace(spark)
 
     def make(root: str) -> str:
-        database = "trolley_" + root.rsplit("-", 1)[-1]
-        payloads = retail.payload_path(spark, sf_dir)
-        at = jobs.Locations(payloads, f"{root}/raw", f"{root}/processed", f"{root}/warehouse", database)
+        at = _locations(root, retail.payload_path(spark, sf_dir))
         jobs.ingest(spark, at, batch="0")
         jobs.run(spark, at, _load_time())
         return at.table
 
-    return ws.once("serving", sf_dir, make)
+    return workspace(spark).once("serving", sf_dir, make)
+
+
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an ingest of payloads reports of which some are cut short, next to what it landed and what it kept apart."""
+    at = _locations(workspace(spark).fresh("rejects"), retail.cut_payload_path(spark, sf_dir))
+    counts = jobs.ingest(spark, at, batch="0")
+    landed = spark.read.parquet(f"{at.raw}/batch=0").agg(
+        F.count(F.lit(1)).alias("rows_landed"), F.count_distinct("order_id").alias("orders_landed")
+    )
+    kept = spark.read.parquet(f"{at.rejects}/batch=0").agg(F.count("payload").alias("payloads_kept"))
+    reported = [F.lit(counts[c]).cast("bigint").alias(c) for c in ("bad_payloads", "orders", "declared_orders")]
+    return landed.join(kept).select("*", *reported)
+
+
+def load_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run stops after its load, before its cleanup; the next one finishes it, and every row is there once."""
+    at = _locations(workspace(spark).fresh("replayed"), retail.payload_path(spark, sf_dir))
+    jobs.ingest(spark, at, batch="0")
+    jobs.stage(spark, at, _load_time())
+    jobs.load(spark, at)
+    jobs.load(spark, at)
+    jobs.run(spark, at, _load_time())
+    return jobs.served(spark, at).select(*ORDER_COLUMNS)
+
+
+def cleanup_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches land and are loaded one by one, and no consumed file is deleted: none is loaded twice."""
+    at = _locations(workspace(spark).fresh("leftovers"), retail.payload_path(spark, sf_dir))
+    for batch in retail.MIXED_BATCHES:
+        retail.land_mixed(spark, sf_dir, at.raw, batch)
+        jobs.run(spark, at, _load_time(), keep_files=True)
+    return jobs.served(spark, at).select(*ORDER_COLUMNS)
 
 
 def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +197,7 @@ def sink_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog view over the loaded table."""
-    return spark.table(_loaded_table(spark, sf_dir).replace("orders_raw", "orders")).select(*ORDER_COLUMNS)
+    return read_serving(spark, sibling(_loaded_table(spark, sf_dir), "orders")).select(*ORDER_COLUMNS)
 
 
 def _over_serving(query: dashboard.Query) -> Registered:
@@ -200,6 +234,9 @@ QUERIES: dict[str, Registered] = {
     "reject_report": rejects,
     "valid_orders_view": valid_orders_view,
     "serving_roundtrip": serving_roundtrip,
+    "payload_rejects": payload_rejects,
+    "load_replayed": load_replayed,
+    "cleanup_leftovers": cleanup_leftovers,
     "sink_format": sink_format,
     "serving_view": serving_view,
     **{name: _over_serving(query) for name, query in SERVING.items()},

@@ -256,6 +256,20 @@ def payload_path(spark: SparkSession, sf_dir: str) -> str:
     return workspace(spark).once("payloads", sf_dir, write)
 
 
+def cut_payload_path(spark: SparkSession, sf_dir: str) -> str:
+    """The same payloads, those of every seventh group of orders cut short, as an interrupted transfer leaves them."""
+
+    def write(path: str) -> str:
+        lines = spark.read.text(payload_path(spark, sf_dir))
+        first_order = F.regexp_extract("value", r'"order_id":(\d+)', 1).cast("bigint")
+        cut = F.floor(first_order / ORDERS_PER_PAYLOAD) % 7 == 0
+        kept = F.when(cut, F.expr("left(value, length(value) - 5)")).otherwise(F.col("value"))
+        lines.select(kept.alias("value")).write.text(path)
+        return path
+
+    return workspace(spark).once("cut-payloads", sf_dir, write)
+
+
 def mixed_landing_path(spark: SparkSession, sf_dir: str) -> str:
     """The fact landed in three ways: Parquet with integer days, Parquet with double days, CSV text with odd names."""
 
