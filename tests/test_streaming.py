@@ -11,10 +11,12 @@ from trolley.schema import ORDER_COLUMNS, TEXT_SCHEMA
 from trolley.sinks.files import CSV_OPTIONS
 from trolley.streaming.landing import (
     dedup_stream,
+    earlier_batches,
     ingest_stream,
     read_landing_stream,
     read_stream_output,
     stateful_dedup,
+    unseen,
 )
 
 
@@ -114,3 +116,42 @@ def test_formats_and_types_may_mix(spark, tmp_path):
     found = {r.order_id: (r[days], r.product_name) for r in read_stream_output(spark, out).collect()}
     assert found == {1: (7, "milk"), 2: (8, "milk"), 3: (7, 'two\nlines of "2%", x')}
     assert read_stream_output(spark, out).count() == 3
+
+
+def test_only_folders_that_may_hold_its_orders_are_opened(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    for name, ids in (("a", [1, 2, 3]), ("b", [1000, 2000]), ("c", [5, 10**15]), ("d", [2, 3, 4])):
+        _land(spark, raw, name, *ids)
+        dedup_stream(read_landing_stream(spark, raw), out)
+    assert _orders(spark, out) == [1, 2, 3, 4, 5, 1000, 2000, 10**15]
+    assert earlier_batches(spark, out, 4, [(2, 4)]) == [0, 3]
+    assert earlier_batches(spark, out, 4, [(1500, 3000), (10**15, 2**63 - 1)]) == [1, 2]
+    assert earlier_batches(spark, out, 4, [(6, 900)]) == []
+    late = clean_orders(feed(spark, {"order_id": "2000"}, {"order_id": "2001"}))
+    plan = unseen(late, out, 4, [(2000, 2001)])
+    assert {r.order_id for r in plan.collect()} == {2001}
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id=1" in text and not any(f"batch_id={b}" in text for b in (0, 2, 3))
+
+
+def test_extreme_ids_and_an_empty_micro_batch(spark, tmp_path):
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    ids = [-(2**63), -9 * 10**18, 0, 9 * 10**18, 2**63 - 1]
+    for name in "ab":
+        _land(spark, raw, name, *ids)
+        dedup_stream(read_landing_stream(spark, raw), out)
+    feed(spark, {"order_id": None}).write.parquet(f"{raw}/batch=c")
+    dedup_stream(read_landing_stream(spark, raw), out)
+    assert _orders(spark, out) == ids
+
+
+def test_streams_are_sized(spark, tmp_path, monkeypatch):
+    from trolley.streaming import landing
+
+    seen = []
+    monkeypatch.setattr(landing, "size_shuffles", lambda spark, size: seen.append(size))
+    raw = f"{tmp_path}/raw"
+    _land(spark, raw, "a", 1)
+    _land(spark, raw, "b", 2)
+    ingest_stream(read_landing_stream(spark, raw), f"{tmp_path}/out")
+    assert seen == [sum(p.stat().st_size for p in Path(raw).rglob("*.parquet"))]

@@ -335,6 +335,29 @@ _ODD_NAMES = f"""SELECT {COLUMNS.replace("product_name", """
                          THEN ' "2%", 1l\\x' || chr(10) || 'new' ELSE '' END AS product_name""")} FROM clean_fact"""
 
 
+# Dashboard results in one form: label, count and rate.
+_SHOWN = (
+    ("q10_department_share", "department", "total_items_sold", "NULL"),
+    ("q11_orders_by_hour", "hour_of_day", "total_orders", "NULL"),
+    ("q13_order_size_distribution", "cart_size_bucket", "total_orders", "NULL"),
+    ("q15_user_frequency_vs_basket", "user_id", "order_frequency", "avg_order_size"),
+    ("q18_orders_and_cart_by_dow", "day_name", "total_orders", "avg_cart_size"),
+    ("q23_cart_position_funnel", "cart_step", "orders_reaching_step", "NULL"),
+    ("q25_department_scorecard", "department", "unique_orders", "reorder_rate_pct"),
+    ("q28_top_aisles_per_department", "aisle", "total_items_sold", "reorder_rate_pct"),
+    ("q30_reorder_by_hour", "hour_of_day", "total_orders", "reorder_rate_pct"),
+)
+
+
+def _shown(statements: dict[str, str], names: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS query, CAST({label} AS VARCHAR) AS label, CAST({total} AS BIGINT) AS total, "
+        f"CAST({rate} AS DOUBLE) AS rate FROM ({statements[name]})"
+        for name, label, total, rate in _SHOWN
+        if name.startswith(tuple(names))
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     statements = {name: _on(select=sql) for name, sql in _dashboard().items()}
     whole_fact = _on(select=f"SELECT {COLUMNS} FROM fact")
@@ -357,6 +380,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_dedup": _on(DIRTY, TYPED, CLEAN, select="SELECT * FROM clean"),
         "stream_ingest": _on(CLEAN_FACT, select=_ODD_NAMES),
         "cleanup_leftovers": _on(CLEAN_FACT, select=_ODD_NAMES),
+        "stream_archive": _on(CLEAN_FACT, select=_ODD_NAMES),
+        "dashboard_marts": _shown(statements, [name for name, *_ in _SHOWN]),
+        "result_marts": _shown(statements, ["q11", "q12", "q13", "q18", "q23", "q27", "q30"]),
         "load_replayed": _on(CLEAN_FACT, select=f"SELECT {COLUMNS} FROM clean_fact"),
         "payload_rejects": _on(
             "documents AS (SELECT DISTINCT order_id, order_id // 20 AS payload, (add_to_cart_order - 1) // 500 AS part "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from trolley.operators.clean import (
 from trolley.operators.filters import apply_filters, valid_orders
 from trolley.operators.flatten import flatten_orders, payload_metrics
 from trolley.operators.quality import consistency_check, latest_rows, row_count, table_profile
-from trolley.plans import dashboard, jobs, retail
+from trolley.plans import dashboard, increments, jobs, retail
 from trolley.plans.mart import order_mart
 from trolley.schema import INGESTED_AT_FORMAT, ORDER_COLUMNS
+from trolley.sinks.files import land_batch
 from trolley.sinks.serving import new_rows
 from trolley.sources.payloads import read_payloads
-from trolley.sources.staged import read_staged_orders
+from trolley.sources.staged import read_staged_orders, staged_files
 from trolley.sources.tables import read_serving, sibling
 from trolley.streaming.landing import dedup_stream, ingest_stream, read_landing_stream, read_stream_output
 from trolley.workspace import workspace
@@ -184,6 +186,66 @@ def cleanup_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.served(spark, at).select(*ORDER_COLUMNS)
 
 
+# Dashboard results in one form: name, label column, count column, rate column (or none).
+_SHOWN = (
+    ("q10_department_share", "department", "total_items_sold", None),
+    ("q11_orders_by_hour", "hour_of_day", "total_orders", None),
+    ("q13_order_size_distribution", "cart_size_bucket", "total_orders", None),
+    ("q15_user_frequency_vs_basket", "user_id", "order_frequency", "avg_order_size"),
+    ("q18_orders_and_cart_by_dow", "day_name", "total_orders", "avg_cart_size"),
+    ("q23_cart_position_funnel", "cart_step", "orders_reaching_step", None),
+    ("q25_department_scorecard", "department", "unique_orders", "reorder_rate_pct"),
+    ("q28_top_aisles_per_department", "aisle", "total_items_sold", "reorder_rate_pct"),
+    ("q30_reorder_by_hour", "hour_of_day", "total_orders", "reorder_rate_pct"),
+)
+
+
+def _shown(results: dict[str, DataFrame]) -> DataFrame:
+    rows = [
+        results[name].select(
+            F.lit(name).alias("query"),
+            F.col(label).cast("string").alias("label"),
+            F.col(total).cast("bigint").alias("total"),
+            (F.col(rate) if rate else F.lit(None)).cast("double").alias("rate"),
+        )
+        for name, label, total, rate in _SHOWN
+        if name in results
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def dashboard_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results merged from the partials of two loads that have orders, users and products in common."""
+    at = _locations(workspace(spark).fresh("marts"), retail.payload_path(spark, sf_dir))
+    items = retail.fact(spark, sf_dir)
+    for batch, some in enumerate(("product_id % 2 = 0", "product_id % 2 = 1")):
+        land_batch(items.where(some), at.raw, str(batch))
+        jobs.run(spark, at, _load_time())
+        increments.refresh(spark, at)
+    return _shown(increments.dashboard_from_marts(spark, at))
+
+
+def result_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sections of the dashboard, written as tables and read again."""
+    sections = ["time_patterns", "cart_deep_dive"]
+    out = workspace(spark).fresh("results")
+    written = dashboard.write_dashboard(retail.fact(spark, sf_dir), out, sections)
+    return _shown({name: spark.read.parquet(path) for name, path in written.items()})
+
+
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consumed files go to an archive; what it and the landing directory hold together is what arrived."""
+    ws = workspace(spark)
+    landing, out, archive = ws.fresh("landing"), ws.fresh("stream"), ws.fresh("archive")
+    for batch in retail.MIXED_BATCHES:
+        retail.land_mixed(spark, sf_dir, landing, batch)
+        ingest_stream(read_landing_stream(spark, landing, archive=archive), out, _load_time())
+    held = read_staged_orders(spark, [r.path for r in staged_files(spark, landing).collect()])
+    gone = read_staged_orders(spark, [r.path for r in staged_files(spark, archive).collect()])
+    text = [F.col(c).cast("string").alias(c) for c in ORDER_COLUMNS]
+    return drop_null_keys(type_columns(held.select(*text).unionByName(gone.select(*text))))
+
+
 def serving_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sixteen columns as loaded, with the load time as text."""
     rows = read_serving(spark, _loaded_table(spark, sf_dir))
@@ -237,6 +299,8 @@ QUERIES: dict[str, Registered] = {
     "payload_rejects": payload_rejects,
     "load_replayed": load_replayed,
     "cleanup_leftovers": cleanup_leftovers,
+    "dashboard_marts": dashboard_marts,
+    "result_marts": result_marts,
     "sink_format": sink_format,
     "serving_view": serving_view,
     **{name: _over_serving(query) for name, query in SERVING.items()},
@@ -247,4 +311,5 @@ QUERIES: dict[str, Registered] = {
     "consistency_check": consistency,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
+    "stream_archive": stream_archive,
 }
