@@ -164,11 +164,11 @@ def test_components_equal_brute_force(spark):
 
 def test_components_with_small_nodes(spark):
     """Nodes of six: the dense group goes through branches, random blocks and pairs of blocks."""
-    check_components(spark, near_copies(8), chosen_path.Plan(leaf=6, trees=12, steps=((1, 1), (2, 2))))
+    check_components(spark, near_copies(8), chosen_path.Plan(leaf=6, trees=12, root_tokens=1, steps=((1, 1), (2, 2))))
 
 
 def test_components_with_heavy_sets(spark):
-    check_components(spark, near_copies(9), chosen_path.Plan(leaf_shingles=300, trees=12, steps=((1, 1),)))
+    check_components(spark, near_copies(9), chosen_path.Plan(leaf_shingles=300, trees=12, root_tokens=1, steps=((1, 1),)))
 
 
 def test_near_copies_of_odd_rows(spark, odd, odd_rows, empty):

@@ -39,16 +39,20 @@ PAIRS = 1 << 14  # sketches compared at once
 
 @dataclass(frozen=True)
 class Plan:
-    """How trees are grown. A step reads so many tokens and makes so many branches of a set: about 1 / 0.85 to the power
-    of the tokens, so that a pair at the threshold keeps about one common node."""
+    """How trees are grown. A root branch reads ``root_tokens``; a step reads so many tokens and makes so many branches
+    of a set: about 1 / 0.85 to the power of the tokens, so that a pair at the threshold keeps about one common node.
+
+    A pair at the threshold shares a root branch of one tree with probability 0.72, and of none of the nine later trees
+    with 0.00001.
+    """
 
     words: int = 3
     percent: int = 85
     trees: int = 10
-    leaf: int = 512  # sets of a node that is compared exhaustively
+    root_tokens: int = 2
+    leaf: int = 4096  # sets of a node that is compared exhaustively
     leaf_shingles: int = 2_000_000
-    first_steps: tuple[tuple[int, int], ...] = ((2, 1),)
-    steps: tuple[tuple[int, int], ...] = ((1, 1), (2, 1), (2, 2), (4, 2), (4, 2), (8, 3))
+    steps: tuple[tuple[int, int], ...] = ((2, 1), (2, 2), (4, 2), (8, 3))
     seed: int = 42
 
     @property
@@ -152,9 +156,11 @@ def shared_nodes(frontier: DataFrame) -> DataFrame:
     return materialise(frontier.join(sizes, "node"), "frontier")
 
 
-def roots(sets: DataFrame, trees: range) -> DataFrame:
+def roots(sets: DataFrame, trees: range, tokens: int) -> DataFrame:
     """The first branch of every set in every tree."""
-    at = [F.xxhash64(F.lit(t), F.get("tokens", F.lit(t * 3 % TOKENS))) for t in trees]
+    at = [
+        F.xxhash64(F.lit(t), *[F.get("tokens", F.lit((t * tokens + k) % TOKENS)) for k in range(tokens)]) for t in trees
+    ]
     return sets.select(F.explode(F.array(*at)).alias("node"), "rep", "color", "n")
 
 
@@ -200,21 +206,23 @@ def block_pairs(rows: DataFrame, plan: Plan) -> DataFrame:
     return rows.join(members, ["node", "piece"]).select(F.col("_pair").alias("node"), "rep", "color", "n")
 
 
-def leaves(sets: DataFrame, trees: range, steps: tuple[tuple[int, int], ...], plan: Plan, first: bool) -> DataFrame:
-    """``node, rep, color, n`` of all nodes to be compared exhaustively."""
+def leaves(sets: DataFrame, trees: range, plan: Plan, first: bool) -> tuple[DataFrame, bool]:
+    """``node, rep, color, n`` of all nodes to be compared exhaustively, and whether any had to be cut into blocks.
+
+    The ``first`` tree deals nodes that are too large into random blocks at once; later ones branch on.
+    """
     small = (F.col("size") <= plan.leaf) & (F.col("weight") <= plan.leaf_shingles)
-    found, frontier = [], roots(sets, trees)
-    for step in (*steps, None):
+    found, frontier = [], roots(sets, trees, plan.root_tokens)
+    for step in (*(() if first else plan.steps), None):
         rows = shared_nodes(frontier)
         found.append(rows.where(small).select("node", "rep", "color", "n"))
         rows = rows.where(~small)
         if rows.isEmpty():
-            break
-        if step is None:
-            found.append((random_blocks if first else block_pairs)(rows, plan))
-        else:
+            return reduce(DataFrame.unionByName, found), False
+        if step is not None:
             frontier = children(rows, sets, *step)
-    return reduce(DataFrame.unionByName, found)
+    found.append((random_blocks if first else block_pairs)(rows, plan))
+    return reduce(DataFrame.unionByName, found), True
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -344,9 +352,8 @@ def verified(found: DataFrame, full: DataFrame, plan: Plan) -> DataFrame:
 def similar_sets(documents: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     """``(a, b)``: every set with a similar one, but for the first of its component, with that first one."""
 
-    def phase(colored: DataFrame, trees: range, first: bool, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        steps = plan.first_steps if first else plan.steps
-        found = clusters(leaves(colored, trees, steps, plan, first), colored, plan)
+    def phase(colored: DataFrame, nodes: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        found = clusters(nodes, colored, plan)
         wanted = found.select("rep").distinct()
         if known is not None:
             wanted = wanted.join(known.select("rep"), "rep", "left_anti")
@@ -355,10 +362,15 @@ def similar_sets(documents: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame
         return materialise(verified(found, full, plan), "links"), full
 
     own = sets.withColumn("color", F.col("rep"))
-    links, full = phase(own, range(1), True, None)
-    colors = star_forest(links).select(F.col("a").alias("rep"), F.col("b").alias("color"))
+    nodes, blocks = leaves(own, range(1), plan, True)
+    links, full = phase(own, nodes, None)
+    # Sets of one color must be connected; that all connected ones have one color matters only where blocks were cut.
+    roots_of = star_forest(links) if blocks else links
+    colors = roots_of.groupBy(F.col("a").alias("rep")).agg(F.min("b").alias("color"))
     colored = sets.join(colors, "rep", "left").withColumn("color", F.coalesce("color", "rep"))
-    more, _ = phase(materialise(colored, "colored"), range(1, plan.trees), False, full)
+    colored = materialise(colored.drop("row_key", "set_key", "least"), "colored")
+    nodes, _ = leaves(colored, range(1, plan.trees), plan, False)
+    more, _ = phase(colored, nodes, full)
     return star_forest(links.unionByName(more))
 
 
