@@ -118,6 +118,18 @@ def test_mixed_landing(spark, tmp_path):
     assert {r.order_id: r[days] for r in staged.collect()} == {1: 7, 2: 8, 3: None, 4: 9, 5: None, 6: 7, 7: None}
 
 
+def test_mixed_footers_where_only_spark_reads(spark, tmp_path):
+    """A scheme that Arrow does not know."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.landing.link./in", f"file://{tmp_path}")
+    typed = feed(spark, {"order_id": "1"}).select(*[F.col(c).try_cast(t) for c, t in LANDED_TYPES.items()])
+    days = "days_since_prior_order"
+    typed.withColumn(days, F.lit(7).cast("bigint")).write.parquet(f"{tmp_path}/raw/batch=1")
+    typed.withColumns({"order_id": F.lit(2).cast("bigint"), days: F.lit(8.0)}).write.parquet(f"{tmp_path}/raw/batch=2")
+    staged = read_staged_orders(spark, "viewfs://landing/in/raw")
+    assert {r.order_id: r[days] for r in jobs.clean_orders(staged).collect()} == {1: 7, 2: 8}
+
+
 def test_text_parquet_keeps_its_numbers(spark, tmp_path):
     raw = f"{tmp_path}/raw"
     feed(spark, {"order_hour_of_day": "12.7"}).write.parquet(raw)

@@ -39,6 +39,14 @@ def test_top_aisles_limit_groups_before_the_shuffle(fact):
     assert plan(dashboard.q28_top_aisles_per_department(fact)).count("WindowGroupLimit") >= 2
 
 
+def test_ranks_join_only_totals_of_stretches(fact):
+    """Neither products nor their counts are joined by department and count, where the long tail is one key."""
+    text = plan(dashboard.q21_product_rank_in_department(fact))
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and all("_part" in line and "total_items_sold" not in line for line in joins)
+    assert "trolley_fact" not in text  # the fact is read once, for the table that is ranked
+
+
 def test_scans_read_only_what_they_need(fact):
     text = plan(dashboard.q10_department_share(fact))
     assert "ReadSchema: struct<department:string>" in text

@@ -18,7 +18,7 @@ from trolley.functions.rates import pct2
 from trolley.plans.dashboard import FUNNEL_STEPS, MIN_ITEMS_FOR_TOP_RATE, TOP_AISLES, Query
 from trolley.plans.jobs import Locations
 from trolley.plans.mart import MART_KEYS, MART_QUERIES, InconsistentOrders
-from trolley.sinks.serving import LOAD, OVERWRITE, settings
+from trolley.sinks.serving import LOAD, OVERWRITE, loads_of, settings
 from trolley.sources.tables import LARGE, read_loads, sibling
 
 ITEM_KEYS = ["department", "aisle", "product_id", "product_name"]
@@ -64,17 +64,17 @@ PARTIALS = {
 }
 
 
-def loads_of(spark: SparkSession, table: str) -> set[str]:
-    if not spark.catalog.tableExists(table):
-        return set()
-    return {row.partition.removeprefix(f"{LOAD}=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-
-
 def refresh(spark: SparkSession, at: Locations, again: set[str] = frozenset()) -> list[str]:
-    """Sum up the loads that have no partials yet, and those of ``again``; returns them. Reads no other load."""
+    """Sum up the loads that have no partials yet, and those of ``again``; returns them. Reads no other load.
+
+    Partials of loads that are gone, because upkeep merged them, go too.
+    """
     loaded = loads_of(spark, at.table) | loads_of(spark, sibling(at.table, LARGE))
     names = {kind: sibling(at.table, kind) for kind in PARTIALS}
     done = set.intersection(*(loads_of(spark, name) for name in names.values()))
+    for name in names.values():
+        for gone in loads_of(spark, name) - loaded:
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({LOAD} = '{gone}')")
     fresh = sorted((loaded - done) | (loaded & again))
     if not fresh:
         return []

@@ -16,11 +16,21 @@ from pyspark.sql import functions as F
 from trolley.operators.clean import clean_orders
 from trolley.operators.flatten import flatten_orders
 from trolley.sinks.files import exists, land_batch, remove, write_processed
-from trolley.sinks.serving import FILES, LOAD, TABLE, append, create_serving_objects, is_recorded, record_files
+from trolley.sinks.serving import (
+    FILES,
+    LOAD,
+    TABLE,
+    append,
+    create_serving_objects,
+    is_recorded,
+    loads_of,
+    record_files,
+)
+from trolley.sinks.upkeep import finish_merge
 from trolley.sizing import input_bytes, partitions_for, size_shuffles
 from trolley.sources.payloads import CORRUPT, payload_rejects, read_payloads
 from trolley.sources.staged import NoStagedFiles, read_staged_orders, staged_files
-from trolley.sources.tables import read_processed, read_serving
+from trolley.sources.tables import LARGE, read_processed, read_serving, sibling
 
 
 @dataclass(frozen=True)
@@ -134,6 +144,11 @@ def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
         return append(processed, at.table, idempotent)
     files = _manifest(spark, at)
     load_id = files.first()[LOAD]
+    finish_merge(spark, at.table)
+    if is_recorded(spark, at.table, load_id) and load_id not in loads_of(spark, at.table) | loads_of(
+        spark, sibling(at.table, LARGE)
+    ):
+        return 0  # merged with others since, or without rows
     added = append(processed, at.table, idempotent, load_id=load_id)
     record_files(files, at.table, load_id)
     return added

@@ -162,8 +162,10 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows_landed"), F.count_distinct("order_id").alias("orders_landed")
     )
     kept = spark.read.parquet(f"{at.rejects}/batch=0").agg(F.count("payload").alias("payloads_kept"))
+    row = landed.unionByName(kept, allowMissingColumns=True)
+    row = row.agg(*[F.max(c).alias(c) for c in ("rows_landed", "orders_landed", "payloads_kept")])
     reported = [F.lit(counts[c]).cast("bigint").alias(c) for c in ("bad_payloads", "orders", "declared_orders")]
-    return landed.join(kept).select("*", *reported)
+    return row.select("*", *reported)
 
 
 def load_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:

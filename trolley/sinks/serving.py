@@ -68,7 +68,7 @@ def bucket_count(spark: SparkSession, table: str) -> int:
 
 
 @contextmanager
-def _settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
+def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
     before = {name: spark.conf.get(name) for name in values}
     try:
         for name, value in values.items():
@@ -99,7 +99,7 @@ def append(
     if large is not None:
         _create_large(spark, table)  # before anything is written
     # A join on the whole key keeps the layout by order.
-    with _settings(spark, {CO_PARTITION: False, OVERWRITE: "dynamic"}):
+    with settings(spark, {CO_PARTITION: False, OVERWRITE: "dynamic"}):
         if idempotent:
             existing = read_loads(spark, table).where(F.col(LOAD) != load_id)
             ranges = occupied_ranges(rows, "order_id")  # of the rows as they lie, before any shuffle
@@ -123,10 +123,17 @@ def _replace_load(rows: DataFrame | None, table: str, load_id: str) -> int:
     return count
 
 
+def loads_of(spark: SparkSession, table: str) -> set[str]:
+    """The loads whose rows a table holds."""
+    if not spark.catalog.tableExists(table):
+        return set()
+    return {row.partition.removeprefix(f"{LOAD}=") for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
 def record_files(files: DataFrame, table: str, load_id: str) -> None:
     """Note which files (path, modified, length) a load consumed: from here on it is complete."""
     spark = files.sparkSession
-    with _settings(spark, {OVERWRITE: "dynamic"}):
+    with settings(spark, {OVERWRITE: "dynamic"}):
         noted = files.select("path", "modified", "length", F.lit(load_id))
         noted.coalesce(1).write.insertInto(sibling(table, FILES), overwrite=True)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import quote
 
@@ -21,6 +22,9 @@ from trolley.schema import LANDED_TYPES, ORDER_COLUMNS, TEXT_SCHEMA
 from trolley.sinks.files import CSV_OPTIONS
 
 
+FOOTER_THREADS = 32
+
+
 class NoStagedFiles(FileNotFoundError):
     """The landing directory holds no Parquet and no CSV file."""
 
@@ -63,7 +67,11 @@ def staged_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _files_by_types(spark: SparkSession, path: Paths) -> list[list[str]]:
-    """Parquet files grouped by the column types in their footers, which tasks read without touching any rows."""
+    """Parquet files grouped by the column types in their footers; no rows are read.
+
+    Tasks read the footers where Arrow knows the file system. Elsewhere Spark's own file system classes do, which only the
+    driver can call: with some footers at a time, each a few kilobytes.
+    """
 
     # Nested so that it is shipped by value: executors need not have this package installed.
     def footer_types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,22 +81,39 @@ def _files_by_types(spark: SparkSession, path: Paths) -> list[list[str]]:
             for file in paths:
                 scheme, _, inner = file.partition(":")
                 inner = quote(re.sub("^/+", "///", inner) if scheme == "file" else inner)
-                uri = f"{'s3' if scheme == 's3a' else scheme}:{inner}"
                 try:
-                    fs, inner = pafs.FileSystem.from_uri(uri)
-                except pa.ArrowInvalid as e:
-                    raise ValueError(f"column types differ between files, and footers cannot be read by {scheme}:") from e
-                footer = pq.read_schema(inner, filesystem=fs)
-                types.append(";".join(sorted(f"{column.name}:{column.type}" for column in footer)))
-            yield pa.RecordBatch.from_pydict({"path": paths, "types": types})
-
-    footers = list_files(spark, path, "*.parquet").mapInArrow(footer_types, "path string, types string")
+                    fs, inner = pafs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}:{inner}")
+                    footer = pq.read_schema(inner, filesystem=fs)
+                    types.append(";".join(sorted(f"{column.name}:{column.type}" for column in footer)))
+                except (pa.ArrowInvalid, OSError):  # not a scheme of Arrow's, or its library is not here
+                    types.append(None)
+            yield pa.RecordBatch.from_pydict({"path": paths, "types": pa.array(types, pa.string())})
+
+    footers = list_files(spark, path, "*.parquet").select("path").mapInArrow(footer_types, "path string, types string")
     files: dict[str, list[str]] = defaultdict(list)
+    others = []
     for row in footers.collect():  # one short row per file, what planning the scan holds on the driver anyway
-        files[row.types].append(row.path)
+        if row.types is None:
+            others.append(row.path)
+        else:
+            files[row.types].append(row.path)
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:  # the calls wait for the file system
+        for file, types in zip(others, pool.map(lambda f: _footer_types(spark, f), others), strict=True):
+            files[types].append(file)
     return list(files.values())
 
 
+def _footer_types(spark: SparkSession, file: str) -> str:
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        columns = reader.getFooter().getFileMetaData().getSchema().getColumns()
+        return ";".join(sorted(column.toString() for column in columns))
+    finally:
+        reader.close()
+
+
 def read_staged_parquet(spark: SparkSession, path: Paths) -> DataFrame:
     """Parquet batches whose footers need not agree.
 
