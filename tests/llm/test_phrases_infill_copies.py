@@ -117,7 +117,7 @@ def test_scores_beyond_64_bits(spark):
 
 def test_bloom_filters_have_what_was_added(spark):
     items = spark.range(5000).selectExpr("cast(id as string) AS w")
-    bloom = bloom_of(items, "w")
+    bloom = bloom_of(items, F.xxhash64("w"))
     hashes = np.array([r.h for r in spark.range(20000).selectExpr("xxhash64(cast(id as string)) AS h").collect()])
     has = bloom.has(hashes.view(np.uint64))
     assert has[:5000].all() and has[5000:].mean() < 0.05

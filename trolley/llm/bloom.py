@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_BITS = 1 << 28  # 32 MB
@@ -32,12 +32,11 @@ def probe_shifts(bits: int) -> list[int]:
     return [room * k // (PROBES - 1) for k in range(PROBES)]
 
 
-def bloom_of(items: DataFrame, *columns: str) -> Bloom:
-    """A filter over xxhash64 of the columns. Set bits are gathered into bitmaps by Spark, and only those reach the
+def bloom_of(items: DataFrame, hashed: Column) -> Bloom:
+    """A filter over a 64-bit hash of the items. Set bits are gathered into bitmaps by Spark, and only those reach the
     driver: at most MOST_BITS bits however many items there are. A filter too full lets more through, never less."""
     wanted = max(items.count() * BITS_PER_ITEM, SLOT_BITS)
     bits = min(MOST_BITS, 1 << (wanted - 1).bit_length())
-    hashed = F.xxhash64(*columns)
     places = F.array(*[F.shiftrightunsigned(hashed, s).bitwiseAND(F.lit(bits - 1)) for s in probe_shifts(bits)])
     at = items.select(F.explode(places).alias("at"))
     # bitmap_construct_agg takes positions below 32,768, the bits of one slot.
@@ -45,6 +44,6 @@ def bloom_of(items: DataFrame, *columns: str) -> Bloom:
         F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(SLOT_BITS - 1))).alias("bitmap")
     )
     whole = np.zeros(bits // 8, np.uint8)
-    for slot, bitmap in slots.toLocalIterator():
+    for slot, bitmap in slots.collect():  # at most MOST_BITS bits
         whole[slot * (SLOT_BITS // 8) :][: SLOT_BITS // 8] = np.frombuffer(bitmap, np.uint8)
     return Bloom(whole)

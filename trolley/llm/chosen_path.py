@@ -286,7 +286,7 @@ def clusters(nodes: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
 def full_sets(documents: DataFrame, wanted: DataFrame, plan: Plan) -> DataFrame:
     """``rep, shingles`` (packed hashes) of the sets ``wanted`` (rep, row_key), from one pass over the texts. A Bloom
     filter of the wanted rows keeps other texts' shingles from being made and shuffled."""
-    shared = documents.sparkSession.sparkContext.broadcast(bloom_of(wanted, "row_key").bits)
+    shared = documents.sparkSession.sparkContext.broadcast(bloom_of(wanted, F.xxhash64("row_key")).bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bloom = WordHashes(), Bloom(shared.value)

@@ -131,13 +131,14 @@ class Block:
             stop[breaks] = breaks
         self.room = np.minimum.accumulate(stop[::-1])[::-1] - np.arange(size)
 
-    def known(self, phrases: list[bytes], bloom: Bloom) -> np.ndarray:
+    def hashes(self, phrases: list[bytes]) -> np.ndarray:
+        """What xxhash64 of language and phrase is in Spark."""
         digest = xxhash.xxh64_intdigest
-        return bloom.has(np.fromiter((digest(p, self.seed) for p in phrases), np.uint64, len(phrases)))
+        return np.fromiter((digest(p, self.seed) for p in phrases), np.uint64, len(phrases))
 
     def pairs(self, bloom: Bloom) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Positions where two frequent words start, the distinct pair at each, and the pairs' texts."""
-        frequent = self.known(self.words, bloom)[self.ids]
+        frequent = bloom.has(self.hashes(self.words))[self.ids]
         at = np.flatnonzero(frequent[:-1] & frequent[1:] & (self.room[:-1] >= 2))
         distinct, pair = np.unique(self.ids[at] * len(self.words) + self.ids[at + 1], return_inverse=True)
         first, second = divmod(distinct, len(self.words))
@@ -152,16 +153,21 @@ class Block:
         return total
 
 
-def pair_counts(block: Block, blooms: list[Bloom]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+Counted = Iterator[tuple[list[bytes] | np.ndarray, np.ndarray]]
+
+
+def pair_counts(block: Block, blooms: list[Bloom]) -> Counted:
+    """Pairs of frequent words, by hash. They are counted again by their words if the hash is frequent."""
     at, pair, texts = block.pairs(blooms[0])
-    yield texts, block.counts(at, pair, len(texts))
+    yield block.hashes(texts).view(np.int64), block.counts(at, pair, len(texts))
 
 
-def longer_counts(block: Block, blooms: list[Bloom]) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Phrases of three words and more all of whose pairs are frequent."""
+def phrase_counts(block: Block, blooms: list[Bloom]) -> Counted:
+    """Frequent pairs, and longer phrases all of whose pairs are frequent."""
     at, pair, texts = block.pairs(blooms[0])
-    frequent = block.known(texts, blooms[1])
-    at, key = at[frequent[pair]], pair[frequent[pair]]
+    frequent = blooms[1].has(block.hashes(texts))[pair]
+    at, key = at[frequent], pair[frequent]
+    yield texts, block.counts(at, key, len(texts))
     goes_on = np.zeros(len(block.ids) + LONGEST, bool)  # a frequent pair starts here
     goes_on[at] = True
     for n in range(3, LONGEST + 1):
@@ -174,52 +180,52 @@ def longer_counts(block: Block, blooms: list[Bloom]) -> Iterator[tuple[list[byte
         yield texts, block.counts(at, key, len(texts))
 
 
-Count = Callable[[Block, list[Bloom]], Iterator[tuple[list[bytes], np.ndarray]]]
-
-
-def count_phrases(parsed: DataFrame, count: Count, filters: list[Bloom], least: int) -> DataFrame:
-    """``lang, phrase, a`` of all phrases that ``count`` finds in the dictionary and that occur ``least`` times."""
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Block]]:
+    """A task's chunks, a bounded number of words of one language at a time."""
+    held: dict[str, tuple[list, list, list]] = {}
+    size: Counter = Counter()
+    for batch in batches:
+        for lang, own, words, freq in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            texts, owns, freqs = held.setdefault(lang, ([], [], []))
+            texts.append(words)
+            owns.append(own)
+            freqs.append(freq)
+            size[lang] += own
+            if size[lang] >= BLOCK_WORDS:
+                size.pop(lang)
+                yield lang, Block(lang, *held.pop(lang))
+            elif size.total() >= 2 * BLOCK_WORDS:  # many languages of few words each
+                size.clear()
+                yield from ((k, Block(k, *v)) for k, v in held.items())
+                held.clear()
+    yield from ((k, Block(k, *v)) for k, v in held.items())
+
+
+def count_phrases(
+    parsed: DataFrame, count: Callable[[Block, list[Bloom]], Counted], key: str, filters: list[Bloom], least: int
+) -> DataFrame:
+    """``lang, phrase, a`` of what ``count`` finds in the dictionary and what occurs ``least`` times. ``key`` is the type
+    of a phrase: binary, or bigint for its hash, which stands for the language too (``lang`` is then empty)."""
     shared = parsed.sparkSession.sparkContext.broadcast([b.bits for b in filters])
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, str]]:
-        held: dict[str, tuple[list, list, list]] = {}
-        size: Counter = Counter()
-        for batch in batches:
-            for lang, own, words, freq in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                texts, owns, freqs = held.setdefault(lang, ([], [], []))
-                texts.append(words)
-                owns.append(own)
-                freqs.append(freq)
-                size[lang] += own
-                if size[lang] >= BLOCK_WORDS:
-                    size.pop(lang)
-                    yield Block(lang, *held.pop(lang)), lang
-                elif size.total() >= 2 * BLOCK_WORDS:  # many languages of few words each
-                    size.clear()
-                    yield from ((Block(k, *held[k]), k) for k in list(held))
-                    held.clear()
-        yield from ((Block(k, *v), k) for k, v in held.items())
+    kind = pa.binary() if key == "binary" else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blooms = [Bloom(bits) for bits in shared.value]
-        for block, lang in blocks(batches):
-            for texts, total in count(block, blooms):
+        for lang, block in blocks_of(batches):
+            for phrases, total in count(block, blooms):
                 found = np.flatnonzero(total)
                 for k in range(0, len(found), 10_000):
                     part = found[k : k + 10_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(part), pa.string()),
-                            pa.array([texts[i] for i in part.tolist()], pa.binary()),
-                            pa.array(total[part], pa.int64()),
-                        ],
-                        names=["lang", "phrase", "a"],
-                    )
+                    named = [phrases[i] for i in part.tolist()] if key == "binary" else phrases[part]
+                    langs = [lang if key == "binary" else ""] * len(part)
+                    arrays = [pa.array(langs, pa.string()), pa.array(named, kind), pa.array(total[part], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "a"])
 
     bare = parsed.select("lang", "own", F.col("words").cast("binary").alias("words"), "freq")
-    counted = bare.mapInArrow(run, "lang string, phrase binary, a bigint")
-    summed = counted.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
-    found = materialise(summed.select("lang", F.col("phrase").cast("string").alias("phrase"), "a"), "phrases")
+    counted = bare.mapInArrow(run, f"lang string, phrase {key}, a bigint")
+    keys = ["lang", "phrase"] if key == "binary" else ["phrase"]
+    summed = counted.groupBy(*keys).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    found = materialise(summed, "phrases")
     shared.unpersist()
     return found
 
@@ -233,10 +239,11 @@ def frequent_phrases(documents: DataFrame, least: int) -> tuple[DataFrame, DataF
     words = materialise(words, "words")
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
     frequent = words.where(F.col("a") >= least)
-    word_filter = bloom_of(frequent, "lang", "phrase")
-    pairs = count_phrases(parsed, pair_counts, [word_filter], least)
-    longer = count_phrases(parsed, longer_counts, [word_filter, bloom_of(pairs, "lang", "phrase")], least)
-    return totals, frequent, pairs.unionByName(longer)
+    word_filter = bloom_of(frequent, F.xxhash64("lang", "phrase"))
+    pairs = count_phrases(parsed, pair_counts, "bigint", [word_filter], least)
+    pair_filter = bloom_of(pairs, F.col("phrase"))
+    phrases = count_phrases(parsed, phrase_counts, "binary", [word_filter, pair_filter], least)
+    return totals, frequent, phrases.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def _part(words: Column, start: Column, length: Column) -> Column:
