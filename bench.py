@@ -1,8 +1,8 @@
 """Time every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-``queries`` holds seconds per query, the median of $BENCH_RUNS runs after a warm-up (one run if that took over 10 s). ``setup`` holds what is derived
-once per session before them, the fact table first of all, and counts towards the total. ``mart`` times the
-order-grain variants of the queries that have one.
+``queries`` holds seconds per query, the median of $BENCH_RUNS runs after a warm-up (one run if that took over 10 s).
+``setup`` holds what is derived once per session before them, the fact table first of all, and counts towards the total.
+``mart`` times the order-grain variants of the queries that have one.
 """
 
 from __future__ import annotations
