@@ -136,7 +136,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and are never hit; a benchmark row without words has no window. Null doc_id: a
     row like any other. A benchmark row with null item_id hits words but is not listed; a repeated item_id is listed
-    once. Repeated rows each get a row. Empty tables: nothing is hit. Other columns are ignored.
+    once. Repeated rows each get a row. A very long text is one row, whose words are in the memory of its task. Empty tables: nothing is hit. Other columns are ignored.
     """
     windows = materialise(item_windows(benchmark), "item-windows")
     hits = window_hits(documents, windows.select("window_id", "window").dropDuplicates(["window_id"]))

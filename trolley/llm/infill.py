@@ -106,7 +106,13 @@ def transformed(doc_id: int | None, text: bytes, rates: Rates) -> tuple[int, str
     return n, form, out, characters(whole[:first]), characters(whole[first:second])
 
 
-FIELDS = {"n": pa.int64(), "form": pa.string(), "output": pa.binary(), "prefix_chars": pa.int64(), "middle_chars": pa.int64()}
+FIELDS = {
+    "n": pa.int64(),
+    "form": pa.string(),
+    "output": pa.binary(),
+    "prefix_chars": pa.int64(),
+    "middle_chars": pa.int64(),
+}
 
 
 def transform(documents: DataFrame, rates: Rates = Rates()) -> DataFrame:

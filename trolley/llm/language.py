@@ -139,7 +139,7 @@ def identify(documents: DataFrame, per_language: int = 1500, folds: int = 4, tes
     Learns from documents outside ``test_fold`` that have a language; only the text is an input of a prediction.
     ``score`` is the cosine with the nearest prototype, not below 0. A text that is null or has no letter, and every
     text when nothing was learnt: ``und`` with score 0. Ties: the smallest language. Null doc_id: fold 0. Repeated
-    rows: a row each. Empty table: empty result. Other columns are ignored.
+    rows: a row each. Very long texts are profiled whole, a million letters at a time. Empty table: empty result. Other columns are ignored.
     """
     held_out = doc_id_fold(folds) == test_fold
     names, matrix = prototypes(documents.where(~held_out).select("doc_id", "text", "lang"), per_language)

@@ -132,7 +132,7 @@ def find_licenses(
     """``doc_id, sentence_ids`` (known sentences in order) and ``licenses`` (sorted, distinct) for every row.
 
     Null and empty texts have none. Null doc_id and repeated rows: a row each. A sentence repeated in a text is in the
-    sequence as often as it occurs. Empty table: empty result. Other columns are ignored.
+    sequence as often as it occurs. Very long texts are searched whole, as lines of one row. Empty table: empty result. Other columns are ignored.
     """
     found = known_sentences(documents, sentences)
     # Bounded by the text's length.

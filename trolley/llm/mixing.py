@@ -66,7 +66,8 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most_epochs:
     The document on which a source's cut falls is taken up to the cut, so a source's taken words are its rounded
     target. Null source: a source of its own, last in order. Null or empty text: size 0, takes 0. Null doc_id: keyed
     like an empty id. Ties of the key are ordered by doc_id, size and a hash of the text; rows alike in all of these
-    are interchangeable. Repeated rows each count. Empty table: empty result.
+    are interchangeable. Repeated rows each count. A very long text may be taken in part, up to the cut. Empty table: empty
+    result.
     """
     documents = documents.drop("size", "source_size", "target", "taken")
     keyed = documents.withColumns(

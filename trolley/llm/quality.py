@@ -174,7 +174,7 @@ def score_documents(documents: DataFrame, labels: DataFrame, threshold: float =
 
     Learns from documents outside fold 0 only; nothing but the text is an input of a score. Null and empty texts have
     the bias as their only feature. Null doc_id: fold 0, never learnt from. Repeated rows teach and are scored once
-    each; equal texts have equal scores. Empty tables: no training rows give 0.5 for every text.
+    each; equal texts have equal scores. Very long texts are scored whole, in the memory of one task. Empty tables: no training rows give 0.5 for every text.
     """
     model = fit(labelled_documents(documents, labels, "quality", doc_id_fold(folds) != 0))
     score = scores(model, documents.sparkSession)

@@ -99,7 +99,8 @@ def find_secrets(documents: DataFrame) -> DataFrame:
     """``doc_id`` and ``secrets``, an array of ``kind, start, end, value``, for every row of ``documents``.
 
     Null and empty texts have none. Null doc_id and repeated rows: a row each. Matches of one kind do not overlap (the
-    leftmost wins); matches of different kinds may, and are ordered by start, then kind. Empty table: empty result.
+    leftmost wins); matches of different kinds may, and are ordered by start, then kind. Very long
+    texts are scanned whole. Empty table: empty result.
     Other columns are ignored.
     """
 

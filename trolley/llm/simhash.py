@@ -218,7 +218,8 @@ def near_duplicates(documents: DataFrame, budget: int = 4) -> DataFrame:
     among all documents it reaches.
 
     Null, empty and blank texts have fingerprint 0 and link like any other. A null doc_id never is a component's id
-    unless all its ids are null: then that is null. Repeated rows each get a row. Empty table: empty result. Other
+    unless all its ids are null: then that is null. Repeated rows each get a row. Very long texts are hashed whole, 65,536
+    shingles at a time. Empty table: empty result. Other
     columns are ignored. Ties need no rule: the result does not depend on the order of anything.
     """
     docs = documents.select("doc_id", row_key().alias("row_key"), fingerprint_udf(F.col("text")).alias("print"))

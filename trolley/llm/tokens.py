@@ -152,7 +152,8 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, out: str) -> None:
     """Write the ids of every whole text of ``documents`` to ``out``, in ascending doc_id order.
 
     Null and empty texts have the end id alone. Null doc_id sorts first. Documents with the same id are ordered by
-    number of ids, then by ids; rows alike in all three are interchangeable. Empty table: no blocks. Other columns are
+    number of ids, then by ids; rows alike in all three are interchangeable. A very long text is
+    encoded whole in one task and is never parted between blocks. Empty table: no blocks. Other columns are
     ignored.
     """
     spark = documents.sparkSession
