@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 from zlib import crc32
 
@@ -29,7 +30,8 @@ from trolley.llm.rans import Coder, frequencies
 from trolley.workspace import workspace
 
 END = 1  # appended to each document
-KNOWN_WORDS = 1_000_000  # of the cache in a task, about 150 MB; emptied when full
+KNOWN_WORDS = 1_000_000  # of the cache in a Python worker, about 150 MB; emptied when full
+YIELD_BYTES = 1 << 22  # of ids handed on together
 BLOCK_TOKENS = 1 << 18  # a block closes at the end of the document that reaches it
 PART_TOKENS = 1 << 25  # a task's stretch of documents, 64 MB of 16-bit ids
 BLOCK_SCHEMA = (
@@ -44,15 +46,17 @@ PROBES = ["the", "tokenization", "straße", "ñandú", "zażółć", "ęxqz"]
 # Marks that end a word, after a letter or digit: the tokenizer always parts the two, so "word." is "word" and ".".
 MARKS = re.compile(rb"[.,!?;:#$%&*](?<=[A-Za-z0-9].)[.,!?;:#$%&*]*(?=\s|\Z)")
 SPECIAL = b"<|"  # begins the special tokens, which the tokenizer looks for before it lower-cases
+# First bytes of U+0300 to U+037F, which hold all marks that compose with an ASCII letter.
+COMBINING = re.compile(rb"[\xcc\xcd]")
 
 
 def split_words(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, marks after them apart. Words of ASCII alone are lower-cased, which the tokenizer
-    does anyway; others stay, as it composes letters and marks before that."""
+    """Words between ASCII white space, marks after them apart. A-Z are lower-cased, which the tokenizer does anyway; only
+    in texts with special tokens or combining marks, which it looks at before that, words that are not ASCII stay."""
     if not text:
         return []
     raw = text.encode("utf-8", "surrogatepass")
-    if raw.isascii() and SPECIAL not in raw:
+    if SPECIAL not in raw and (raw.isascii() or not COMBINING.search(raw)):
         return MARKS.sub(rb" \g<0>", raw.lower()).split()
     words = MARKS.sub(rb" \g<0>", raw).split()
     return [word.lower() if word.isascii() and SPECIAL not in word else word for word in words]
@@ -66,47 +70,51 @@ def byte_letters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
-class WordIds:
-    """Ids of words as packed bytes. The tokenizer drops white space and no token spans it, so a text's ids are its words'
-    ids in order. Words not met before go through the whole tokenizer together; plain ones only through its model, if
-    that gives the same for PROBES."""
+class WordIds(dict):
+    """Ids of words as packed bytes, found when first asked for. The tokenizer drops white space and no token spans it, so
+    a text's ids are its words' ids in order. Plain words go only through its model, if that gives the same for PROBES."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.known: dict[bytes, bytes] = {}
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.direct = [self._direct(w) for w in PROBES] == self._encode(PROBES)
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        others = []
-        for word in set().union(*texts) - self.known.keys():
-            text = word.lower().decode("utf-8", "surrogatepass")
-            # No letter of LETTERS, nor of A-Z, composes with another one, so here lower-casing may come first.
-            if self.direct and LETTERS.fullmatch(text) and text == text.lower():
-                self.known[word] = self._direct(text)
-            else:
-                others.append((word, word.decode("utf-8", "surrogatepass")))
-        for (word, _), ids in zip(others, self._encode([text for _, text in others]), strict=True):
-            self.known[word] = ids
+        self.direct = all(self._direct(word) == self._encode(word) for word in PROBES)
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.lower().decode("utf-8", "surrogatepass")
+        # No letter of LETTERS, nor of A-Z, composes with another one, so here lower-casing may come first.
+        if self.direct and LETTERS.fullmatch(text) and text == text.lower():
+            ids = self._direct(text)
+        else:
+            ids = self._encode(word.decode("utf-8", "surrogatepass"))
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
 
     def _direct(self, word: str) -> bytes:
         if not word.isascii():
             word = "".join(map(self.letters.__getitem__, word.encode()))
         return self._packed([token.id for token in self.model.tokenize(word)])
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [self._packed(encoding.ids) for encoding in coded]
+    def _encode(self, text: str) -> bytes:
+        # The batch call of one text: it alone has a variant that leaves out the offsets.
+        return self._packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
-    def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.known.__getitem__, words)) + self._packed([END])
+    def ids(self, text: str | None) -> bytes:
+        """Ids of a whole text and the end id."""
+        return b"".join(map(self.__getitem__, split_words(text))) + self._packed([END])
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One for all tasks of a Python worker, so that words are learnt once in each worker."""
+    return WordIds(path)
 
 
 def tokenize(documents: DataFrame, path: str) -> DataFrame:
@@ -116,15 +124,23 @@ def tokenize(documents: DataFrame, path: str) -> DataFrame:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        words = WordIds(path)
+        words = word_ids(path)
+
+        def packed(doc_ids: list, ids: list[bytes]) -> pd.DataFrame:
+            size = [len(i) // words.kind.itemsize for i in ids]
+            return pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "n_tokens": size, "ids": ids})
+
         for batch in batches:
-            for k in range(0, len(batch), 512):  # bounds the words held at once
-                part = batch.iloc[k : k + 512]
-                texts = [split_words(t) for t in part["text"]]
-                words.learn(texts)
-                ids = [words.ids(t) for t in texts]
-                size = [len(i) // words.kind.itemsize for i in ids]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "n_tokens": size, "ids": ids})
+            doc_ids, ids, size = [], [], 0
+            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
+                doc_ids.append(doc_id)
+                ids.append(words.ids(text))
+                size += len(ids[-1])
+                if size >= YIELD_BYTES:
+                    yield packed(doc_ids, ids)
+                    doc_ids, ids, size = [], [], 0
+            if ids:
+                yield packed(doc_ids, ids)
 
     return documents.select("doc_id", "text").mapInPandas(encode, "doc_id bigint, n_tokens bigint, ids binary")
 
