@@ -22,6 +22,8 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -30,8 +32,9 @@ from trolley.llm.rans import Coder, frequencies
 from trolley.workspace import workspace
 
 END = 1  # appended to each document
+END_WORD = b""  # stands for it among the words of texts
 KNOWN_WORDS = 1_000_000  # of the cache in a Python worker, about 150 MB; emptied when full
-YIELD_BYTES = 1 << 22  # of ids handed on together
+TOGETHER_BYTES = 1 << 23  # of texts whose words are looked up together; a longer text is alone
 BLOCK_TOKENS = 1 << 18  # a block closes at the end of the document that reaches it
 PART_TOKENS = 1 << 25  # a task's stretch of documents, 64 MB of 16-bit ids
 BLOCK_SCHEMA = (
@@ -43,19 +46,21 @@ BLOCK_SCHEMA = (
 # Lower-case words of Latin letters: no normalising or splitting is left to do, the vocabulary's model takes them whole.
 LETTERS = re.compile("[a-zß-öø-ɏ]+")
 PROBES = ["the", "tokenization", "straße", "ñandú", "zażółć", "ęxqz"]
-# Marks that end a word, after a letter or digit: the tokenizer always parts the two, so "word." is "word" and ".".
-MARKS = re.compile(rb"[.,!?;:#$%&*](?<=[A-Za-z0-9].)[.,!?;:#$%&*]*(?=\s|\Z)")
+# Marks that end a word, after a letter (ASCII, À to ÿ) or digit: the tokenizer always parts the two, so "word." is "word"
+# and ".".
+MARKS = re.compile(
+    rb"[.,!?;:#$%&*](?:(?<=[A-Za-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,!?;:#$%&*]*(?=\s|\Z)"
+)
 SPECIAL = b"<|"  # begins the special tokens, which the tokenizer looks for before it lower-cases
 # First bytes of U+0300 to U+037F, which hold all marks that compose with an ASCII letter.
 COMBINING = re.compile(rb"[\xcc\xcd]")
 
 
-def split_words(text: str | None) -> list[bytes]:
+def split_words(raw: bytes | None) -> list[bytes]:
     """Words between ASCII white space, marks after them apart. A-Z are lower-cased, which the tokenizer does anyway; only
     in texts with special tokens or combining marks, which it looks at before that, words that are not ASCII stay."""
-    if not text:
+    if not raw:
         return []
-    raw = text.encode("utf-8", "surrogatepass")
     if SPECIAL not in raw and (raw.isascii() or not COMBINING.search(raw)):
         return MARKS.sub(rb" \g<0>", raw.lower()).split()
     words = MARKS.sub(rb" \g<0>", raw).split()
@@ -83,6 +88,8 @@ class WordIds(dict):
         self.direct = all(self._direct(word) == self._encode(word) for word in PROBES)
 
     def __missing__(self, word: bytes) -> bytes:
+        if word == END_WORD:
+            return self._packed([END])
         text = word.lower().decode("utf-8", "surrogatepass")
         # No letter of LETTERS, nor of A-Z, composes with another one, so here lower-casing may come first.
         if self.direct and LETTERS.fullmatch(text) and text == text.lower():
@@ -106,9 +113,19 @@ class WordIds(dict):
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
-    def ids(self, text: str | None) -> bytes:
-        """Ids of a whole text and the end id."""
-        return b"".join(map(self.__getitem__, split_words(text))) + self._packed([END])
+    def of_texts(self, texts: list[bytes | None]) -> pa.Array:
+        """Ids of each whole text and the end id. Each different word is looked up once."""
+        words, ends = [], [0]
+        for text in texts:
+            words += split_words(text)
+            words.append(END_WORD)
+            ends.append(len(words))
+        coded = pa.array(words, pa.large_binary()).dictionary_encode()
+        ids = pa.array([self[word] for word in coded.dictionary.to_pylist()], pa.large_binary()).take(coded.indices)
+        _, starts, packed = ids.buffers()
+        # The words' ids lie one after another, so a text's are those from its first word to the next text's.
+        bounds = np.frombuffer(starts, np.int64, len(ids) + 1)[ends]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds), packed])
 
 
 @lru_cache(maxsize=1)
@@ -117,32 +134,34 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def stretches(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of TOGETHER_BYTES, or a little more by their last one."""
+    begin = size = 0
+    for end, text in enumerate(texts, 1):
+        size += len(text or b"")
+        if size >= TOGETHER_BYTES or end == len(texts):
+            yield begin, end
+            begin, size = end, 0
+
+
 def tokenize(documents: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` (packed little-endian integers, the end id last)."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         words = word_ids(path)
-
-        def packed(doc_ids: list, ids: list[bytes]) -> pd.DataFrame:
-            size = [len(i) // words.kind.itemsize for i in ids]
-            return pd.DataFrame({"doc_id": pd.array(doc_ids, "Int64"), "n_tokens": size, "ids": ids})
-
         for batch in batches:
-            doc_ids, ids, size = [], [], 0
-            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                doc_ids.append(doc_id)
-                ids.append(words.ids(text))
-                size += len(ids[-1])
-                if size >= YIELD_BYTES:
-                    yield packed(doc_ids, ids)
-                    doc_ids, ids, size = [], [], 0
-            if ids:
-                yield packed(doc_ids, ids)
-
-    return documents.select("doc_id", "text").mapInPandas(encode, "doc_id bigint, n_tokens bigint, ids binary")
+            doc_ids, texts = batch.column("doc_id").cast(pa.int64()), batch.column("raw").to_pylist()
+            for begin, end in stretches(texts):
+                ids = words.of_texts(texts[begin:end])
+                size = pc.divide(pc.binary_length(ids), words.kind.itemsize)
+                fields = [doc_ids[begin:end], size, ids.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays(fields, ["doc_id", "n_tokens", "ids"])
+
+    texts = documents.select("doc_id", F.col("text").cast("binary").alias("raw"))
+    return texts.mapInArrow(encode, "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def count_ids(tokenized: DataFrame, vocabulary: int, kind: np.dtype) -> np.ndarray:
