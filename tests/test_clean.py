@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trolley.operators.clean import (
     clean_orders,
+    clean_orders_by_order,
     deduplicate,
     drop_null_keys,
     format_for_sink,
@@ -112,3 +113,22 @@ def test_empty_feed(spark):
     empty = feed(spark, {}).limit(0)
     assert clean_orders(empty).count() == 0
     assert reject_report(empty).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 3])
+def test_cleaning_by_order_equals_cleaning(spark, fact, hot_rows):
+    from trolley.plans import retail
+
+    feed_rows = retail.dirty_feed(fact)
+    cleaned, dealt = clean_orders_by_order(feed_rows, hot_rows=hot_rows)
+    assert rows(cleaned.drop("ingested_at")) == rows(clean_orders(feed_rows).drop("ingested_at"))
+    assert dealt == (hot_rows > 3)
+
+
+def test_cleaning_by_order_shuffles_once_and_sorts_nothing_before(fact):
+    from trolley.plans import retail
+
+    cleaned, _ = clean_orders_by_order(retail.dirty_feed(fact))
+    text = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "hashpartitioning(order_id" in text
+    assert "Sort" not in text[text.index("Exchange") :]

@@ -328,3 +328,17 @@ def test_large_orders_are_kept_apart_and_served_together(spark, at):
     assert serving.append(clean, at.table, idempotent=True, hot_rows=10) == 0
     assert serving.append(clean, at.table, hot_rows=10) == 53
     assert jobs.served(spark, at).count() == 106
+
+
+def test_a_load_takes_the_buckets_that_its_stage_dealt_out(spark, tmp_path, fact, monkeypatch):
+    at = jobs.Locations("", f"{tmp_path}/raw", f"{tmp_path}/processed", f"{tmp_path}/wh", "dealt_loads", buckets=4)
+    seen = []
+    real = jobs.append
+    monkeypatch.setattr(jobs, "append", lambda *a, **k: seen.append(k.get("dealt")) or real(*a, **k))
+    for batch in ("0", "1"):
+        land_batch(fact.where(F.col("product_id") % 2 == int(batch)), at.raw, batch)
+        jobs.run(spark, at)
+    assert seen == [4, 4]
+    assert jobs.served(spark, at).count() == fact.count()
+    files = Path(at.warehouse, "orders_raw").rglob("*.parquet")
+    assert len(list(files)) == 8  # a file for each bucket and load

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trolley.operators.skew import HOT_KEY_ROWS, find_hot_keys, split_by_hot
 from trolley.schema import CLEAN_TYPES, DEDUP_KEYS, INGESTED_AT_FORMAT, KEY_COLUMNS, OUTPUT_COLUMNS
+from trolley.workspace import workspace
 
 
 def _typed(df: DataFrame, name: str, to: str) -> Column:
@@ -52,6 +54,26 @@ def clean_orders(raw: DataFrame, ingested_at: Column | None = None) -> DataFrame
     return stamp(deduplicate(drop_null_keys(type_columns(raw)), DEDUP_KEYS), ingested_at)
 
 
+def clean_orders_by_order(
+    raw: DataFrame, ingested_at: Column | None = None, parts: int | None = None, hot_rows: int = HOT_KEY_ROWS
+) -> tuple[DataFrame, bool]:
+    """What ``clean_orders`` returns, for rows about to be written, and whether all of it is dealt out by order (into
+    ``parts``, where given): yes, unless an order is hot.
+
+    The lines of an order stay together, and their order columns repeat next to each other in the shuffle and in the
+    files; no map task sorts its rows to find copies. Orders of more than ``hot_rows`` rows, copies included, take the
+    aggregate over the whole key, in which copies collapse before the shuffle. Reads the order ids a first time.
+    """
+    typed = drop_null_keys(type_columns(raw))
+    hot = find_hot_keys(typed, "order_id", workspace(raw.sparkSession), hot_rows)
+    cold, large = (typed, None) if hot is None else split_by_hot(typed, "order_id", hot)
+    dealt = cold.repartition("order_id") if parts is None else cold.repartition(parts, "order_id")
+    rows = deduplicate(dealt, DEDUP_KEYS)
+    if large is not None:
+        rows = rows.unionByName(deduplicate(large, DEDUP_KEYS))
+    return stamp(rows, ingested_at), large is None
+
+
 def reject_report(raw: DataFrame) -> DataFrame:
     """How many rows cleaning drops, by the first key column that is missing or does not fit its type."""
     typed = type_columns(raw)

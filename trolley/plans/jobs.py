@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators.clean import clean_orders
+from trolley.operators.clean import clean_orders, clean_orders_by_order  # noqa: F401 (the first for callers)
 from trolley.operators.flatten import flatten_orders
 from trolley.sinks.files import exists, land_batch, remove, write_processed
 from trolley.sinks.serving import (
@@ -21,13 +21,14 @@ from trolley.sinks.serving import (
     LOAD,
     TABLE,
     append,
+    bucket_count,
     create_serving_objects,
     is_recorded,
     loads_of,
     record_files,
 )
 from trolley.sinks.upkeep import finish_merge
-from trolley.sizing import input_bytes, partitions_for, size_shuffles
+from trolley.sizing import buckets_for, input_bytes, scan_by_bucket, size_shuffles
 from trolley.sources.payloads import CORRUPT, payload_rejects, read_payloads
 from trolley.sources.staged import NoStagedFiles, read_staged_orders, staged_files
 from trolley.sources.tables import LARGE, read_processed, read_serving, sibling
@@ -56,6 +57,11 @@ class Locations:
         """The files behind the processed dataset, and the name of its load."""
         return f"{self.processed.rstrip('/')}.files"
 
+    @property
+    def dealt(self) -> str:
+        """Into how many buckets the rows of the processed dataset are dealt out."""
+        return f"{self.processed.rstrip('/')}.dealt"
+
     @property
     def rejects(self) -> str:
         return f"{self.raw.rstrip('/')}.rejects"
@@ -111,10 +117,28 @@ def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None)
         raise NoStagedFiles(f"no staged orders files found in {at.raw}, but for what is loaded already")
     paths = [row.path for row in listed]
     size_shuffles(spark, sum(row.length for row in listed))
-    cleaned = clean_orders(read_staged_orders(spark, paths), ingested_at)
+    raw = read_staged_orders(spark, paths)
+    if spark.catalog.tableExists(at.table):
+        buckets = bucket_count(spark, at.table)
+    else:
+        buckets = at.buckets or max(buckets_for(raw.count()), spark.sparkContext.defaultParallelism)
+    cleaned, dealt = clean_orders_by_order(raw, ingested_at, buckets)
+    noted = spark.createDataFrame([(load_id, buckets if dealt else None)], DEALT).coalesce(1)
+    noted.write.mode("overwrite").parquet(at.dealt)
     return Staged(write_processed(cleaned, at.processed), paths, load_id)
 
 
+DEALT = f"{LOAD} string, buckets int"
+
+
+def _dealt(spark: SparkSession, at: Locations, load_id: str) -> int | None:
+    """Into how many buckets a stage run dealt the processed dataset out, if it did."""
+    if not exists(spark, at.dealt):
+        return None
+    noted = spark.read.schema(DEALT).parquet(at.dealt).where(F.col(LOAD) == load_id).first()
+    return noted and noted.buckets
+
+
 def _manifest(spark: SparkSession, at: Locations) -> DataFrame:
     return spark.read.schema(f"path string, modified timestamp, length bigint, {LOAD} string").parquet(at.manifest)
 
@@ -138,24 +162,26 @@ def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
     processed = read_processed(spark, at.processed)
     size = input_bytes(spark, [at.processed])
     size_shuffles(spark, size)
-    buckets = at.buckets or max(partitions_for(size), spark.sparkContext.defaultParallelism)
+    files = _manifest(spark, at) if exists(spark, at.manifest) else None
+    load_id = files and files.first()[LOAD]
+    dealt = load_id and _dealt(spark, at, load_id)
+    buckets = at.buckets or dealt or max(buckets_for(processed.count()), spark.sparkContext.defaultParallelism)
     create_serving_objects(spark, at.database, at.warehouse, buckets)
-    if not exists(spark, at.manifest):
+    if files is None:
         return append(processed, at.table, idempotent)
-    files = _manifest(spark, at)
-    load_id = files.first()[LOAD]
     finish_merge(spark, at.table)
     if is_recorded(spark, at.table, load_id) and load_id not in loads_of(spark, at.table) | loads_of(
         spark, sibling(at.table, LARGE)
     ):
         return 0  # merged with others since, or without rows
-    added = append(processed, at.table, idempotent, load_id=load_id)
+    added = append(processed, at.table, idempotent, load_id=load_id, dealt=dealt)
     record_files(files, at.table, load_id)
     return added
 
 
 def served(spark: SparkSession, at: Locations) -> DataFrame:
     """Everything loaded so far, for the dashboard queries."""
+    scan_by_bucket(spark)
     return read_serving(spark, at.table)
 
 
@@ -164,7 +190,7 @@ def cleanup(spark: SparkSession, at: Locations, staged: Staged) -> list[str]:
 
     A file that landed after that run was planned is not in its list and stays for the next one.
     """
-    return remove(spark, staged.files) + remove(spark, [at.processed, at.manifest])
+    return remove(spark, staged.files) + remove(spark, [at.processed, at.manifest, at.dealt])
 
 
 def run(
@@ -196,4 +222,4 @@ def run(
 
 
 def _clean(spark: SparkSession, at: Locations, staged: Staged, keep_files: bool) -> list[str]:
-    return remove(spark, [at.processed, at.manifest]) if keep_files else cleanup(spark, at, staged)
+    return remove(spark, [at.processed, at.manifest, at.dealt]) if keep_files else cleanup(spark, at, staged)

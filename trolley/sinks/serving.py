@@ -24,6 +24,8 @@ LOAD = "load_id"
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 JDBC_BATCH_ROWS = 10_000
+SPLIT = "spark.sql.files.maxPartitionBytes"
+SPLIT_BYTES = 8 * 1024 * 1024  # of a file for each bucket one task takes one or two
 
 
 def create_serving_objects(spark: SparkSession, database: str, location: str, buckets: int = 8) -> None:
@@ -80,14 +82,20 @@ def settings(spark: SparkSession, values: dict[str, object]) -> Iterator[None]:
 
 
 def append(
-    df: DataFrame, table: str, idempotent: bool = False, hot_rows: int = HOT_KEY_ROWS, load_id: str | None = None
+    df: DataFrame,
+    table: str,
+    idempotent: bool = False,
+    hot_rows: int = HOT_KEY_ROWS,
+    load_id: str | None = None,
+    dealt: int | None = None,
 ) -> int:
     """Write one load to the serving table and return its rows.
 
     A load is a partition: repeated under the same ``load_id``, whole or after it stopped half way, it replaces itself.
     Without an id it is a new load. With ``idempotent`` only keys that no other load holds go in.
 
-    Shuffle and buckets are the same hash, so each load adds one file to each bucket. Orders of more than ``hot_rows``
+    Shuffle and buckets are the same hash, so each load adds one file to each bucket. Rows that lie in files by that hash
+    already, ``dealt`` of them, are not shuffled again unless keys are to be compared. Orders of more than ``hot_rows``
     rows would make one bucket too large: they go to a second table without buckets, made when first needed, which
     ``read_serving`` and the view then include.
     """
@@ -95,7 +103,9 @@ def append(
     rows = df.withColumn("ingested_at", F.coalesce("ingested_at", F.current_timestamp())).select(*OUTPUT_COLUMNS)
     hot = find_hot_keys(rows, "order_id", workspace(spark), hot_rows)
     ordinary, large = (rows, None) if hot is None else split_by_hot(rows, "order_id", hot)
-    in_buckets = ordinary.repartition(bucket_count(spark, table), "order_id")
+    buckets = bucket_count(spark, table)
+    as_they_lie = dealt == buckets and not idempotent
+    in_buckets = ordinary if as_they_lie else ordinary.repartition(buckets, "order_id")
     if large is not None:
         _create_large(spark, table)  # before anything is written
     # A join on the whole key keeps the layout by order.
@@ -106,7 +116,8 @@ def append(
             in_buckets = new_rows(in_buckets, existing, ranges)
             large = large and new_rows(large, existing, ranges)
         added = _replace_load(large and clustered(large), sibling(table, LARGE), load_id)
-        return added + _replace_load(in_buckets.sortWithinPartitions(*CLUSTER_KEYS), table, load_id)
+        with settings(spark, {SPLIT: SPLIT_BYTES} if as_they_lie else {}):
+            return added + _replace_load(in_buckets.sortWithinPartitions(*CLUSTER_KEYS), table, load_id)
 
 
 def _replace_load(rows: DataFrame | None, table: str, load_id: str) -> int:
