@@ -181,7 +181,7 @@ def load_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleanup_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches land and are loaded one by one, and no consumed file is deleted: none is loaded twice."""
-    at = _locations(workspace(spark).fresh("leftovers"), retail.payload_path(spark, sf_dir))
+    at = _locations(workspace(spark).fresh("leftovers"), "")  # batches land without payloads
     for batch in retail.MIXED_BATCHES:
         retail.land_mixed(spark, sf_dir, at.raw, batch)
         jobs.run(spark, at, _load_time(), keep_files=True)
@@ -218,7 +218,7 @@ def _shown(results: dict[str, DataFrame]) -> DataFrame:
 
 def dashboard_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results merged from the partials of two loads that have orders, users and products in common."""
-    at = _locations(workspace(spark).fresh("marts"), retail.payload_path(spark, sf_dir))
+    at = _locations(workspace(spark).fresh("marts"), "")  # batches land without payloads
     items = retail.fact(spark, sf_dir)
     for batch, some in enumerate(("product_id % 2 = 0", "product_id % 2 = 1")):
         land_batch(items.where(some), at.raw, str(batch))
