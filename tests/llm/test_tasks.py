@@ -1,10 +1,13 @@
 """Token files, language ID, search, secret scans, quality, near-dedup: brute force, round trips, held-out accuracy."""
 
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 from zlib import crc32
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +246,36 @@ def test_search_against_all_scores(spark, small, odd, empty, monkeypatch):
             assert [i for i, _ in found[q]] == [None if i == float("inf") else i for i, _ in ranking]
             assert [s for _, s in found[q]] == pytest.approx([s for _, s in ranking], abs=1e-6)
     assert search.search(empty, F.col("doc_id") % 20 == 0).count() == 0
+
+
+def _index_batches(documents, size=250):
+    """Term lists as a task reads them: 40 terms of 2,000 in each document, drawn by doc_id alone."""
+    for begin in range(0, documents, size):
+        terms = [np.sort(np.random.default_rng(d).choice(2_000, 40, False)) for d in range(begin, begin + size)]
+        ends = pa.array(np.arange(0, 40 * size + 1, 40), pa.int32())
+        counts = np.tile(np.arange(40, dtype=np.int32) % 3 + 1, size)
+        columns = [pa.array(range(begin, begin + size), pa.int64()), pa.array(np.full(size, 77))]
+        columns += [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (np.concatenate(terms), counts)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "terms", "counts"])
+
+
+def test_search_task_holds_one_shard_at_a_time(monkeypatch):
+    """Neither a task's memory nor the rows it returns grow with the documents that it goes through."""
+    monkeypatch.setattr(search, "SHARD_DOCUMENTS", 1_000)
+    monkeypatch.setattr(search, "FREQUENT", 64)
+    chosen = next(_index_batches(250)).column("terms").slice(0, 20)
+    weights = pa.ListArray.from_arrays(chosen.offsets, pa.array(np.linspace(0.5, 3, 800)))
+    keys = [f"{d}:" for d in range(20)]
+    sent = SimpleNamespace(value=search.Queries(pa.table({"digest": keys, "terms": chosen, "weights": weights})))
+    peaks, found = [], {}
+    for documents in (2_000, 16_000):
+        tracemalloc.start()
+        found[documents] = list(search._search_stretch(sent, 10, 70.0)(_index_batches(documents)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert sum(batch.num_rows for batch in found[documents]) == 20 * 10
+    assert peaks[1] < 1.3 * peaks[0]
+    # One shard of all documents finds the same.
+    monkeypatch.setattr(search, "SHARD_DOCUMENTS", 16_000)
+    whole = search._search_stretch(sent, 10, 70.0)(_index_batches(16_000))
+    assert pa.Table.from_batches(whole) == pa.Table.from_batches(found[16_000])
