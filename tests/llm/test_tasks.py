@@ -1,5 +1,7 @@
 """Token files, language ID, search, secret scans, quality, near-dedup: brute force, round trips, held-out accuracy."""
 
+import glob
+import os
 import tracemalloc
 from collections import Counter
 from types import SimpleNamespace
@@ -279,3 +281,44 @@ def test_search_task_holds_one_shard_at_a_time(monkeypatch):
     monkeypatch.setattr(search, "SHARD_DOCUMENTS", 16_000)
     whole = search._search_stretch(sent, 10, 70.0)(_index_batches(16_000))
     assert pa.Table.from_batches(whole) == pa.Table.from_batches(found[16_000])
+
+
+def test_search_multiplies_only_terms_that_many_queries_of_a_batch_hold(monkeypatch):
+    """A frequent term that one query holds is added up from its postings, whatever its rank; sums are the same."""
+    n, terms = 640, 80
+    held = np.random.default_rng(3).random((n, terms)) < 0.4
+    numbers = [np.flatnonzero(row).astype(np.int32) for row in held]
+    sizes = np.array([len(x) for x in numbers])
+    count = np.ones(sizes.sum(), np.int32)
+    shard = search.Shard(np.full(n, 50), sizes, np.concatenate(numbers), count, terms, 50.0)
+    # Eight terms are in every query, each of the others in one.
+    queries = [np.concatenate([np.arange(8), [8 + q]]).astype(np.int32) for q in range(64)]
+    weights = [np.linspace(1, 2, 9) for _ in queries]
+    multiplied = []
+    score = search.Shard._score
+    monkeypatch.setattr(search.Shard, "_score", lambda self, *a: (multiplied.append(a[1]), score(self, *a)))
+    monkeypatch.setattr(search, "POSTING_WORK", 100)
+    found = shard.best(list(zip(queries, weights, strict=True)), np.full((64, 10), -1.0))
+    assert all(len(chosen) == 8 for chosen in multiplied)
+    for q, (documents, scores) in enumerate(found):
+        every = held[:, queries[q]] @ weights[q]
+        assert np.sort(scores)[-10:] == pytest.approx(np.sort(every)[-10:])
+        assert every[documents] == pytest.approx(scores)
+
+
+def test_search_tasks_have_even_stretches(spark, monkeypatch):
+    """Term lists are read in pieces much smaller than a task's stretch: which files there are does not decide who reads what."""
+
+    def rows_of_stretch(batches):
+        rows = sum(batch.num_rows for batch in batches)
+        yield pa.RecordBatch.from_pydict({"digest": ["-"], "doc_id": [rows], "score": [0.0]})
+
+    monkeypatch.setattr(search, "SHARD_DOCUMENTS", 500)
+    monkeypatch.setattr(search, "PIECE_BYTES", 64 * 1024, raising=False)
+    monkeypatch.setattr(search, "_search_stretch", lambda *a: rows_of_stretch)
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.hex(F.xxhash64("doc_id", i))), " ")
+    documents = spark.range(4_000, numPartitions=3).withColumnRenamed("id", "doc_id").withColumn("text", words)
+    search.search(documents, F.col("doc_id") % 1000 == 0).count()
+    results = glob.glob(f"{workspace(spark).root.removeprefix('file:')}/stretch-results-*")
+    rows = [r.doc_id for r in spark.read.parquet(max(results, key=os.path.getmtime)).collect()]
+    assert sum(rows) == 4_000 and max(rows) < 1.3 * 500
