@@ -342,3 +342,11 @@ def test_a_load_takes_the_buckets_that_its_stage_dealt_out(spark, tmp_path, fact
     assert jobs.served(spark, at).count() == fact.count()
     files = Path(at.warehouse, "orders_raw").rglob("*.parquet")
     assert len(list(files)) == 8  # a file for each bucket and load
+
+
+def test_a_load_does_not_count_again_what_its_stage_found_cold(spark, tmp_path, fact, monkeypatch):
+    at = jobs.Locations("", f"{tmp_path}/raw", f"{tmp_path}/processed", f"{tmp_path}/wh", "counted_once", buckets=4)
+    counted = []
+    monkeypatch.setattr(serving, "find_hot_keys", lambda *a: counted.append(a))
+    land_batch(fact, at.raw, "0")
+    assert jobs.run(spark, at) == fact.count() and not counted

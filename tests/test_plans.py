@@ -1,11 +1,13 @@
 """Physical plans: what must be there at scale, and what must not."""
 
 import pytest
+from compare import connect, differences
 from rowsets import rows
 
 from pyspark.sql import functions as F
 
 from trolley.operators.filters import apply_filters, valid_orders
+from trolley.oracle import COLUMNS, FACT
 from trolley.plans import dashboard, retail
 from trolley.plans.registry import QUERIES
 from trolley.sinks.serving import new_rows
@@ -147,3 +149,31 @@ def test_lines_reach_their_order_without_the_columns_that_break_ties(spark, sf_d
 
 def test_buckets_are_read_one_a_task(fact):
     assert "Bucketed: true" in plan(dashboard.q14_volume_vs_reorder(fact))
+
+
+def test_lines_carry_no_tie_breaks_and_no_derived_product_columns(spark, sf_dir):
+    """Shuffles of the build take three numbers of a line and three texts of its product."""
+    text = plan(retail.order_items(spark, sf_dir, 10**9))
+    assert "l_extendedprice" not in text and "l_suppkey" not in text
+    carried = [line for line in text.splitlines() if "Project" in line and "p_brand" in line and "l_linenumber" in line]
+    assert carried and not any("aisle_id" in line or "department" in line for line in carried)
+
+
+def test_lines_that_tie_get_the_positions_of_sql(spark, sf_dir, tmp_path):
+    """Orders whose lines share numbers, products and whole rows."""
+    for name in ("orders", "part"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumns(
+        {
+            "l_linenumber": F.expr("CAST(CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_linenumber % 2 END AS INT)"),
+            "l_partkey": F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_partkey END"),
+        }
+    )
+    lines.unionByName(lines.where("l_orderkey % 4 = 0")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = connect("")
+    for name in ("orders", "part", "lineitem"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    con.execute("SET default_null_order = 'nulls_first'")
+    sql = f"WITH {FACT} SELECT {COLUMNS} FROM fact"
+    assert differences(retail.order_items(spark, str(tmp_path)), con, sql) == ""
+    assert differences(retail.order_items(spark, str(tmp_path), hot_rows=9), con, sql) == ""

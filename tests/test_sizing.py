@@ -1,8 +1,12 @@
 """Shuffle sizing and the shared workspace."""
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from trolley import sizing
+from trolley.plans import retail
 from trolley.workspace import Workspace, workspace
 
 
@@ -79,3 +83,21 @@ def test_buckets_follow_the_rows_not_the_bytes_of_their_files():
     assert sizing.buckets_for(0) == 1
     assert sizing.buckets_for(36_000_000) == 138 and sizing.buckets_for(216_000_000) == 824
     assert sizing.buckets_for(10**13) * sizing.MOST_BYTES >= 10**13 * sizing.ROW_BYTES
+
+
+def shuffles(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+
+def test_steps_leave_no_shuffle_files(spark, sf_dir, tmp_path):
+    """Of a job of many steps only the running one has shuffle files, whenever the driver collects garbage."""
+    before = shuffles(spark)
+    grouped = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    assert workspace(spark).materialise(grouped, "freed").count() == 7
+    retail.store_fact(spark, sf_dir, f"{tmp_path}/fact-freed")
+    for _ in range(50):  # executors delete in the background
+        if shuffles(spark) <= before + 1:  # the count above
+            break
+        time.sleep(0.1)
+    assert shuffles(spark) <= before + 1
+    assert spark.conf.get(sizing.FREE_SHUFFLES, "false") == "false"

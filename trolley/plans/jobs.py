@@ -28,7 +28,7 @@ from trolley.sinks.serving import (
     record_files,
 )
 from trolley.sinks.upkeep import finish_merge
-from trolley.sizing import buckets_for, input_bytes, scan_by_bucket, size_shuffles
+from trolley.sizing import buckets_for, frees_shuffles, input_bytes, scan_by_bucket, size_shuffles
 from trolley.sources.payloads import CORRUPT, payload_rejects, read_payloads
 from trolley.sources.staged import NoStagedFiles, read_staged_orders, staged_files
 from trolley.sources.tables import LARGE, read_processed, read_serving, sibling
@@ -67,6 +67,7 @@ class Locations:
         return f"{self.raw.rstrip('/')}.rejects"
 
 
+@frees_shuffles
 def ingest(
     spark: SparkSession, at: Locations, batch: str, fmt: str = "parquet", multi_line: bool = False
 ) -> dict[str, int]:
@@ -102,6 +103,7 @@ class Staged:
     load_id: str
 
 
+@frees_shuffles
 def stage(spark: SparkSession, at: Locations, ingested_at: Column | None = None) -> Staged:
     """Clean everything staged that no load has consumed, and overwrite the processed dataset."""
     files = staged_files(spark, at.raw)
@@ -154,6 +156,7 @@ def staged_before(spark: SparkSession, at: Locations) -> Staged | None:
     return Staged(rows, [row.path for row in listed], listed[0][LOAD])
 
 
+@frees_shuffles
 def load(spark: SparkSession, at: Locations, idempotent: bool = False) -> int:
     """Write the processed dataset to the serving table as one load and note its files as consumed; returns its rows.
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 from math import ceil
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,7 @@ EXPANSION = 4
 ROW_BYTES = 256
 SORTED_BYTES = 64 * 1024 * 1024
 BUCKETED_SCANS = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -75,3 +77,29 @@ def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
                 spark.conf.unset(name)
             else:
                 spark.conf.set(name, value)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What runs within leaves no shuffle files: they go when its query ends. Otherwise they stay until the driver
+    happens to collect garbage, and every step of a job adds its own."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    try:
+        spark.conf.set(FREE_SHUFFLES, True)
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
+def frees_shuffles(step: Callable) -> Callable:
+    """A step (session first) that runs under ``shuffles_freed``."""
+
+    @wraps(step)
+    def run(spark: SparkSession, *args, **kwargs):
+        with shuffles_freed(spark):
+            return step(spark, *args, **kwargs)
+
+    return run

@@ -15,7 +15,7 @@ from trolley.operators.clean import clean_orders_by_order
 from trolley.operators.ranges import in_ranges, occupied_ranges
 from trolley.schema import CLEAN_SCHEMA, DEDUP_KEYS, OUTPUT_COLUMNS
 from trolley.sinks.files import exists
-from trolley.sizing import size_shuffles
+from trolley.sizing import shuffles_freed, size_shuffles
 from trolley.sources.staged import read_staged_orders
 from trolley.workspace import workspace
 
@@ -52,7 +52,8 @@ def _run(stream: DataFrame, out: str, handle: Callable[[DataFrame, int], None])
         # Names only, at most max_files of them. An empty micro-batch has none.
         if listed := files.collect():
             size_shuffles(files.sparkSession, sum(row.length for row in listed))
-            handle(read_staged_orders(files.sparkSession, [row.path for row in listed]), batch_id)
+            with shuffles_freed(files.sparkSession):
+                handle(read_staged_orders(files.sparkSession, [row.path for row in listed]), batch_id)
 
     # The progress log lives inside the output it describes, so the two cannot be mixed up between runs.
     query = stream.writeStream.option("checkpointLocation", f"{out}/_progress").trigger(availableNow=True)

@@ -14,6 +14,8 @@ from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trolley.sizing import shuffles_freed
+
 T = TypeVar("T")
 
 
@@ -44,7 +46,8 @@ class Workspace:
     def materialise(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` to the shared folder and read it back: lineage ends at files that outlive any executor."""
         path = self.fresh(name)
-        df.write.parquet(path)
+        with shuffles_freed(df.sparkSession):
+            df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
