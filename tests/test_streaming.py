@@ -155,3 +155,53 @@ def test_streams_are_sized(spark, tmp_path, monkeypatch):
     _land(spark, raw, "b", 2)
     ingest_stream(read_landing_stream(spark, raw), f"{tmp_path}/out")
     assert seen == [sum(p.stat().st_size for p in Path(raw).rglob("*.parquet"))]
+
+
+def test_earlier_keys_are_compared_order_by_order(spark, tmp_path, fact, monkeypatch):
+    """The shuffle that brings the copies of a micro-batch together serves the comparison: nothing is written between."""
+    from trolley.plans import retail
+    from trolley.streaming import landing
+    from trolley.workspace import Workspace
+
+    raw, out, plans, made = f"{tmp_path}/raw", f"{tmp_path}/out", [], []
+    real, materialise = landing.unseen, Workspace.materialise
+
+    def noted(rows_of, *args):
+        with landing.settings(rows_of.sparkSession, {landing.CO_PARTITION: False}):
+            fresh = real(rows_of, *args)
+            plans.append(fresh._jdf.queryExecution().executedPlan().toString())
+            return fresh
+
+    monkeypatch.setattr(landing, "unseen", noted)
+    monkeypatch.setattr(Workspace, "materialise", lambda ws, df, name: made.append(name) or materialise(ws, df, name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for batch, copies in enumerate((False, True)):
+            retail.dirty_feed(fact, copies=copies).write.parquet(f"{raw}/batch={batch}")
+            dedup_stream(read_landing_stream(spark, raw), out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "micro-batch" not in made
+    (text,) = plans
+    exchanges = [line for line in text.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 2 and all("hashpartitioning(order_id#" in e and "add_to_cart" not in e for e in exchanges)
+    expected = clean_orders(retail.dirty_feed(fact)).select(*ORDER_COLUMNS)
+    assert rows(read_stream_output(spark, out).select(*ORDER_COLUMNS)) == rows(expected)
+
+
+def test_large_orders_are_compared_with_earlier_keys(spark, tmp_path, fact, monkeypatch):
+    """Orders that take the aggregate over the whole key meet earlier keys as all others do."""
+    from functools import partial
+
+    from trolley.operators.clean import clean_orders_by_order
+    from trolley.plans import retail
+    from trolley.streaming import landing
+
+    raw, out = f"{tmp_path}/raw", f"{tmp_path}/out"
+    monkeypatch.setattr(landing, "clean_orders_by_order", partial(clean_orders_by_order, hot_rows=6))
+    retail.dirty_feed(fact.where("product_id % 2 = 0")).write.parquet(f"{raw}/batch=0")
+    dedup_stream(read_landing_stream(spark, raw), out)
+    retail.dirty_feed(fact).write.parquet(f"{raw}/batch=1")
+    dedup_stream(read_landing_stream(spark, raw), out)
+    expected = clean_orders(retail.dirty_feed(fact)).select(*ORDER_COLUMNS)
+    assert rows(read_stream_output(spark, out).select(*ORDER_COLUMNS)) == rows(expected)

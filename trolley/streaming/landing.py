@@ -8,17 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators.clean import clean_orders_by_order
+from trolley.operators.clean import clean_orders_by_order, drop_null_keys, type_columns
 from trolley.operators.ranges import in_ranges, occupied_ranges
 from trolley.schema import CLEAN_SCHEMA, DEDUP_KEYS, OUTPUT_COLUMNS
 from trolley.sinks.files import exists
+from trolley.sinks.serving import CO_PARTITION, settings
 from trolley.sizing import shuffles_freed, size_shuffles
 from trolley.sources.staged import read_staged_orders
-from trolley.workspace import workspace
-
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -74,25 +73,20 @@ def dedup_stream(stream: DataFrame, out: str, ingested_at: Column | None = None)
 
     The written table is the state: it needs no watermark, which this data has no event time for, and it grows on
     disk instead of in executors. Beside it a summary holds the order ranges of every micro-batch (see
-    ``occupied_ranges``). A new one is cleaned once, into a table of its own; of the earlier folders only those are opened
-    whose ranges meet its ranges, and in those only the files that may hold its orders.
+    ``occupied_ranges``); of the earlier folders only those are opened whose ranges meet those of a new one, and in those
+    only the files that may hold its orders. A new one is dealt out by order once: that shuffle serves its own copies
+    and the comparison with earlier keys, so its rows are neither shuffled nor written a second time.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{out}/batch_id={batch_id}"
-        bounds = Observation()
-        # The copies of a key within the micro-batch go here, and the sort is the one that finds them.
-        cleaned = clean_orders_by_order(batch, ingested_at)[0].sortWithinPartitions(*DEDUP_KEYS)
-        ends = [f("order_id").alias(n) for n, f in (("low", F.min), ("high", F.max))]
-        if batch_id == 0:
-            cleaned.observe(bounds, *ends).write.mode("overwrite").parquet(target)
-            rows = spark.read.schema(CLEAN_SCHEMA).parquet(target)
-        else:
-            rows = workspace(spark).materialise(cleaned.observe(bounds, *ends), "micro-batch")
-        ranges = occupied_ranges(rows, "order_id", bounds=(bounds.get["low"], bounds.get["high"]))
-        if batch_id:
-            fresh = unseen(rows, out, batch_id, ranges)
+        cleaned = clean_orders_by_order(batch, ingested_at)[0]
+        # Which orders there are does not change by cleaning out copies: the ranges need no shuffle of the rows.
+        ranges = occupied_ranges(drop_null_keys(type_columns(batch)), "order_id")
+        fresh = unseen(cleaned, out, batch_id, ranges) if batch_id else cleaned
+        # A join on the whole key keeps the layout by order.
+        with settings(spark, {CO_PARTITION: False}):
             fresh.sortWithinPartitions(*DEDUP_KEYS).write.mode("overwrite").parquet(target)
         kept = spark.createDataFrame([(batch_id, *r) for r in ranges], SUMMARY)
         kept.coalesce(1).write.mode("overwrite").parquet(f"{out}/_ranges/batch_id={batch_id}")
