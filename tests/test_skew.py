@@ -76,3 +76,27 @@ def test_join_keeps_every_row(spark):
     assert rows(join_dimension(big, dim, "k", hot)) == rows(big.join(dim, "k"))
     left_out = dim.where("k > 0")
     assert rows(join_dimension(big, left_out, "k", hot)) == rows(big.join(left_out, "k"))
+
+
+def test_cold_keys_are_not_shuffled_to_be_counted(spark, monkeypatch):
+    """Counting by slots sends a number for each slot; one slot with a hot key in it has its keys counted, and no other."""
+    df = spark.range(40_000).select(F.when(F.col("id") < 1500, -5).when(F.col("id") < 1600, None).otherwise(F.col("id")).alias("k"))
+    ws, written = workspace(spark), []
+    real = ws.materialise
+    monkeypatch.setattr(ws, "materialise", lambda frame, name: written.append((name, plan(frame))) or real(frame, name))
+    assert find_hot_keys(df, "k", ws, 2000) is None
+    assert [name for name, _ in written] == ["hot-slots"]
+    exchanges = [line for line in written[0][1].splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("_slot" in line or "xxhash64" in line or "_groupingexpression" in line for line in exchanges)
+    assert rows(find_hot_keys(df, "k", ws, 1000)) == [(-5,)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aisles_first_bought_are_found_with_one_row_an_order(spark, sf_dir):
+    """Between orders and users travel lists of aisles, not a row for each aisle."""
+    text = plan(retail.order_items(spark, sf_dir, 10**9))
+    by_user = [line for line in text.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert by_user and not any("aisle" in line for line in by_user)

@@ -19,20 +19,33 @@ HOT_KEY_ROWS = 1_000_000
 MOST_HOT_KEYS = 20_000
 
 
+def slots_for(rows: int, min_rows: int) -> int:
+    """So many slots that one holds an eighth of ``min_rows`` ordinary rows: at most 160,000 for ``find_hot_keys``."""
+    return max(1024, 8 * rows // max(1, min_rows))
+
+
 def find_hot_keys(df: DataFrame, key: str, ws: Workspace, min_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
     """Keys with more than ``min_rows`` rows, or None when there are none (the usual case).
 
     The limit rises with the table, so that there are never more than MOST_HOT_KEYS hot keys: from 2 * 10^10 rows on, a
-    key is hot with more than its 20,000th of the rows. Reads one column and counts with map-side combine, so a hot
-    key costs the shuffle one row per task. A table of at most ``min_rows`` rows cannot hold one; its row count comes
+    key is hot with more than its 20,000th of the rows. Reads one column. Keys are counted by slots of their hash first: a
+    task sends a number for each slot, not one for each key, and only keys of a slot with more than ``min_rows`` rows,
+    if there is one, are counted themselves. A table of at most ``min_rows`` rows cannot hold one; its row count comes
     from file metadata.
     """
     rows = df.count()
     min_rows = max(min_rows, rows // MOST_HOT_KEYS)
     if rows <= min_rows:
         return None
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = ws.materialise(counts.where(F.col(key).isNotNull() & (F.col("_n") > min_rows)).select(key), "hot-keys")
+    n = F.count(F.lit(1)).alias("_n")
+    keys = df.select(key).where(F.col(key).isNotNull())
+    slot = F.pmod(F.xxhash64(key), F.lit(slots_for(rows, min_rows))).cast("int").alias("_slot")
+    full = ws.materialise(keys.groupBy(slot).agg(n).where(F.col("_n") > min_rows).select("_slot"), "hot-slots")
+    if full.isEmpty():  # at most rows / min_rows of them
+        return None
+    few = keys.withColumn("_slot", slot).join(F.broadcast(full), "_slot", "left_semi")
+    counts = few.groupBy(key).agg(n)
+    hot = ws.materialise(counts.where(F.col("_n") > min_rows).select(key), "hot-keys")
     return None if hot.isEmpty() else hot
 
 
